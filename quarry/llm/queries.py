@@ -6,9 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import mixing, sharding
+from quarry.llm import decontaminate, mixing, sharding, token_counts
 from quarry.session import table
 
+#: The vocabulary file of op1; another one's path can be set here or passed on.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
@@ -19,6 +36,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op10_sharding": op10_sharding,
 }
