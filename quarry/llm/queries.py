@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, mixing, sharding, token_counts
+from quarry.llm import decontaminate, licences, mixing, sharding, token_counts, toxicity
 from quarry.session import table
 
 #: The vocabulary file of op1; another one's path can be set here or passed on.
@@ -31,6 +31,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -39,5 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
+    "op8_toxicity": op8_toxicity,
+    "op9_licences": op9_licences,
     "op10_sharding": op10_sharding,
 }
