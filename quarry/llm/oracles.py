@@ -15,6 +15,17 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hits.n_hit,
 FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r
 """
 
+OP6 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?INST\]|/?s>|</?SYS>>|ROLE=|/ROLE\])')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 14 + length(role) END AS size FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
+    "op6_chat_format": OP6,
 }

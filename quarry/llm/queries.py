@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, licences, mixing, sharding, token_counts, toxicity
+from quarry.llm import chat, decontaminate, licences, mixing, sharding, token_counts, toxicity
 from quarry.session import table
 
 #: The vocabulary file of op1; another one's path can be set here or passed on.
@@ -31,6 +31,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
+    "op6_chat_format": op6_chat_format,
     "op8_toxicity": op8_toxicity,
     "op9_licences": op9_licences,
     "op10_sharding": op10_sharding,
