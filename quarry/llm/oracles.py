@@ -25,7 +25,17 @@ CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
 
+OP7 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT html, max(page_id) AS largest FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+CASE WHEN g.html IS NULL OR p.page_id IS NOT DISTINCT FROM g.largest THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN g.html IS NULL OR p.page_id IS NOT DISTINCT FROM g.largest THEN NULL ELSE g.largest END AS refers_to
+FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
     "op6_chat_format": OP6,
+    "op7_warc": OP7,
 }

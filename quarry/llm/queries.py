@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, decontaminate, licences, mixing, sharding, token_counts, toxicity
+from quarry.llm import chat, decontaminate, licences, mixing, sharding, token_counts, toxicity, warc
 from quarry.session import table
 
 #: The vocabulary file of op1; another one's path can be set here or passed on.
@@ -35,6 +35,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op6_chat_format": op6_chat_format,
+    "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_licences": op9_licences,
     "op10_sharding": op10_sharding,
