@@ -15,6 +15,13 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hits.n_hit,
 FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r
 """
 
+OP4 = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP6 = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 f AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?INST\]|/?s>|</?SYS>>|ROLE=|/ROLE\])')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 14 + length(role) END AS size FROM c)
@@ -36,6 +43,7 @@ FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
+    "op4_top_k": OP4,
     "op6_chat_format": OP6,
     "op7_warc": OP7,
 }
