@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, decontaminate, licences, mixing, sharding, token_counts, topk, toxicity, warc
+from quarry.llm import chat, decontaminate, licences, mixing, neardup, sharding, token_counts, topk, toxicity, warc
 from quarry.session import table
 
 #: The vocabulary file of op1; another one's path can be set here or passed on.
@@ -35,6 +35,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op4_top_k": op4_top_k,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_chat_format": op6_chat_format,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
