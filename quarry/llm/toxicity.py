@@ -136,7 +136,7 @@ def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.n
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_pydict({"place": pa.array(kept, pa.int64()), "weight": pa.array(w[kept], pa.float64())})
 
-    found = rows.coalesce(1).mapInArrow(fitted, "place long, weight double").toArrow()
+    found = rows.repartition(1).mapInArrow(fitted, "place long, weight double").toArrow()
     places, weights = found.column("place").to_numpy(), found.column("weight").to_numpy()
     own = places < 1 << bits
     return places[own], weights[own], float(weights[~own].sum())
