@@ -159,8 +159,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
-    keyed = own.withColumn("digest", F.when(F.octet_length("payload") >= DEDUP_BYTES, F.sha1("payload")))
-    groups = keyed.where("digest is not null").groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("largest")).where("n > 1").drop("n")
+    # short payloads get keys of their own, which match no digest and don't pile up in one task
+    large = F.octet_length("payload") >= DEDUP_BYTES
+    keyed = own.withColumn("digest", F.when(large, F.sha1("payload")).otherwise(F.concat(F.lit("short-"), F.xxhash64("page_id", "url").cast("string"))))
+    groups = keyed.where(large).groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("largest")).where("n > 1").drop("n")
     joined = keyed.join(groups, F.col("digest") == F.col("d"), "left")
     revisit = F.col("d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest"))
     return joined.select("page_id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("largest")).alias("refers_to"))
