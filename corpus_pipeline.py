@@ -1,28 +1,50 @@
 """A corpus from raw documents to shards: five stages, each one of the operators.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; its
-output is written as Parquet and read back as the next one's input.
+output is written as Parquet and read back as the next one's input. All but the last
+return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import mixing, sharding
+from quarry.llm import decontaminate, mixing, neardup, sharding, toxicity
 from quarry.session import materialise, table
 
 
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores under 0.5; it learns from ``labels``."""
+    return toxicity.clean_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, 0.8 or more."""
+    return neardup.unique_rows(docs, width=5, percent=80)
+
+
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, or left out, so that sources meet their target weights."""
     return mixing.mixed_rows(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A shard and a slot for each document of the mix."""
+    """A shard and a slot for each document of the mix, repeats included."""
     return sharding.digest(docs)
 
 
-STAGES = [("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("toxicity", toxic_out),
+    ("near_duplicates", near_duplicates_out),
+    ("decontamination", benchmark_out),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 #: The trained model and the sketches can't be expressed in SQL; tests hold the stages
 #: against brute force.

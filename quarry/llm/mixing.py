@@ -148,8 +148,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     most one document of a source is taken in part. Rows equal in id and text count as
     one document that is taken as often as they are together.
     """
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
     turns = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).agg(F.sum(F.expr("(2 * taken + size) div (2 * size)")).alias("_turns"))
-    named = docs.withColumn("_text_key", key)
-    once = named.join(turns.where("_turns > 0"), named[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    return once.dropDuplicates([id_col, "_text_key"]).withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns")))).select(*docs.columns)
+    text = F.col(text_col)
+    named = docs.select(F.col(id_col).alias("own_id"), F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    once = named.join(turns.where("_turns > 0"), F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_key") == F.col("_key")))
+    return once.dropDuplicates(["own_id", "own_key"]).withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns")))).select("row.*")

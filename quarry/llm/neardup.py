@@ -114,6 +114,11 @@ def sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
     return docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(own_id, own_key, row): whole rows beside their keys, so that no column can clash."""
+    return docs.select(F.col(id_col).alias("own_id"), text_key(text_col).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def text_key(text_col: str):
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
 
@@ -283,9 +288,9 @@ def unique_rows(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     rows, classes = components_of(docs, width, percent, id_col, text_col)
     best = classes.groupBy("root").agg(F.min(F.struct(F.col("rep_id").isNull().alias("n"), "rep_id", "rep_key")).alias("r")).select(F.col("r.rep_id").alias("_i"), F.col("r.rep_key").alias("_k"))
     stay = best.union(rows.where("print is null").select("id", "text_key")).distinct()
-    named = docs.withColumn("_text_key", text_key(text_col))
-    kept = named.join(stay, named[id_col].eqNullSafe(F.col("_i")) & (F.col("_text_key") == F.col("_k")), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_key"]).select(*docs.columns)
+    named = packed(docs, id_col, text_col)
+    kept = named.join(stay, F.col("own_id").eqNullSafe(F.col("_i")) & (F.col("own_key") == F.col("_k")), "left_semi")
+    return kept.dropDuplicates(["own_id", "own_key"]).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:
