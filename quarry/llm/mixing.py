@@ -79,7 +79,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     targeted = levelled.withColumn("target", F.when(F.col("capped") | F.col("cap").eqNullSafe(F.lit(0.0)), F.col("cap")).otherwise(level * F.col("weight")))
     so_far = by_name.rowsBetween(Window.unboundedPreceding, 0)
     whole = F.sum("target").over(everything)
-    high = F.when(F.row_number().over(everything.orderBy(F.col("number").desc())) == 1, F.lit(1.0)).otherwise(F.sum("target").over(so_far) / whole)
+    high = F.when(F.row_number().over(everything.orderBy(F.col("number").desc())) == 1, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(F.sum("target").over(so_far), whole), F.lit(0.0)))
     bounded = targeted.withColumn("high", high)
     return bounded.withColumn("low", F.coalesce(F.lag("high").over(by_name), F.lit(0.0))).select("source", "number", "weight", "source_size", "target", "low", "high")
 

@@ -17,7 +17,8 @@ of the others are read. Label, language, source and id are never features.
 
 Results by case: null and empty texts have no words and get the score of the intercept;
 null labels are no labels; an id labelled twice counts once, as toxic if either says so;
-without a label of each kind every score is the prior's; repeated rows each get their
+without labels of both kinds every score is the smoothed share of toxic labels, 0.1 for
+none; repeated rows each get their
 row; an empty table gives no rows.
 """
 
@@ -127,6 +128,11 @@ def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.n
         for batch in batches:
             for place, text, label in zip(*(c.to_pylist() for c in batch.columns)):
                 held.append((place, np.unique(found.of(text)).astype(np.int32), label))
+        n, toxic = len(held), sum(label for _, _, label in held)
+        if toxic in (0, n):  # nothing to tell apart: the smoothed share of toxic rows
+            prior = (toxic + 1) / (n + 10)
+            yield pa.RecordBatch.from_pydict({"place": pa.array([1 << bits], pa.int64()), "weight": pa.array([math.log(prior / (1 - prior))], pa.float64())})
+            return
         held.sort(key=lambda r: (r[0], len(r[1]), int(r[1].sum())))
         model = Ftrl(1 << bits)
         for _ in range(epochs):
@@ -137,6 +143,8 @@ def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.n
         yield pa.RecordBatch.from_pydict({"place": pa.array(kept, pa.int64()), "weight": pa.array(w[kept], pa.float64())})
 
     found = rows.repartition(1).mapInArrow(fitted, "place long, weight double").toArrow()
+    if not found.num_rows:
+        return np.empty(0, np.int64), np.empty(0), math.log(1 / 9)
     places, weights = found.column("place").to_numpy(), found.column("weight").to_numpy()
     own = places < 1 << bits
     return places[own], weights[own], float(weights[~own].sum())
