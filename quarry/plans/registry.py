@@ -29,4 +29,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["hybrid_search"](spark, sf_dir)
 
 
-from quarry.plans import curation_queries, evaluation_queries, evidence_queries, search_queries, structure_queries  # noqa: E402, F401  they register themselves
+from quarry.plans import curation_queries, document_queries, evaluation_queries, evidence_queries, search_queries, structure_queries  # noqa: E402, F401  they register themselves
