@@ -4,7 +4,7 @@ A document's set is its distinct word shingles, as 64-bit hashes. Its sketch dea
 into ``REGISTERS`` equal stretches of the hash range; of each stretch the smallest hash is
 kept as a compressed register: the count of leading zeros of its place within the stretch
 (6 bits) and the ``MANTISSA`` bits that follow. Bands of ``ROWS`` registers are the keys
-under which similar sets meet.
+under which similar sets meet; for them, empty registers borrow from used ones.
 
 Documents with the same set are one class (its copies are members, never pairs). Classes
 that share a band meet at the band's hub: its most central class, the one whose bands are
@@ -18,8 +18,7 @@ verifications as it has members, and a block emits one link for each member it t
 Groups of several blocks get a second pass for the classes that did not join their hub's
 component: each of these meets every block. No pair that shares a band goes uncompared.
 
-Sets of similarity 0.8 share one of 50 bands of 5 with a probability over 1 - 1e-8, and
-more for short texts, whose sketch holds nearly the whole set.
+Sets of similarity 0.8 share one of 50 bands of 5 with a probability over 1 - 1e-8.
 
 Results by case: a text that is null or has no words has an empty set, is its own
 component and is kept; a text of fewer words than a shingle has one shingle, the whole;
@@ -84,13 +83,39 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _donors(tries: int) -> np.ndarray:
+    """For each try and register, the register that an empty one borrows from."""
+    at = np.arange(tries * REGISTERS, dtype=np.uint64).reshape(tries, REGISTERS)
+    return (scrambled(at + np.uint64(0x51ED270B)) % np.uint64(REGISTERS)).astype(np.int64)
+
+
+_FEW, _MANY = _donors(32), _donors(1024)
+
+
+def filled(sketch: np.ndarray) -> np.ndarray:
+    """Registers for banding: an empty one borrows, in the order all sketches share, from the
+    first used one it is sent to. So a band of a short text holds ROWS draws from its set."""
+    values = (np.arange(REGISTERS) << 16) | sketch
+    for table in (_FEW, _MANY):
+        empty = np.flatnonzero(values & 0xFFFF == int(EMPTY))
+        if not len(empty):
+            return values
+        donors = table[:, empty]
+        good = sketch[donors] != EMPTY
+        values[empty] = np.where(good.any(0), values[donors[good.argmax(0), np.arange(len(empty))]], values[empty])
+    used = np.flatnonzero(sketch != EMPTY)
+    empty = np.flatnonzero(values & 0xFFFF == int(EMPTY))
+    values[empty] = values[used[np.searchsorted(used, empty) % len(used)]]
+    return values
+
+
 def band_keys(sketch: np.ndarray) -> np.ndarray:
-    """A key for each band with a register in use."""
-    rows = sketch.reshape(BANDS, ROWS)
+    """A key for each band."""
+    rows = filled(sketch).reshape(BANDS, ROWS).astype(np.uint64)
     key = scrambled(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
     for i in range(ROWS):
-        key = scrambled(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, i].astype(np.uint64))
-    return key[(rows != EMPTY).any(1)].view(np.int64)
+        key = scrambled(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
+    return key.view(np.int64)
 
 
 def sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
