@@ -49,6 +49,8 @@ MANTISSA = 10
 #: Leading zeros take 6 bits; 63 with all mantissa bits set says that a stretch is empty.
 EMPTY = np.uint16(0xFFFF)
 BLOCK = 1024
+#: Words of the bitmap that says which texts are wanted: 2**19 rows of 16 bytes at most.
+FILTER_WORDS = 1 << 19
 #: Standard errors that an estimate may fall short of the threshold.
 Z = 5.0
 
@@ -258,6 +260,23 @@ def hub_groups(classes: DataFrame) -> DataFrame:
     return materialise(shared.join(hubs, "band").select("hub", "cid").distinct(), "neardup-groups")
 
 
+def texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cid, text) of the classes in ``reps`` (cid, rep_id, rep_key).
+
+    Only texts that may be wanted are shuffled: a bitmap of ``FILTER_WORDS`` words of 64 bits,
+    a fixed size that every executor can hold, has a bit for each wanted key. Once most bits
+    are set it lets more pass, and the join still finds the right ones. Repeated rows fold
+    before they meet.
+    """
+    word = lambda k: F.expr(f"pmod({k}, {FILTER_WORDS}L)")
+    bit = lambda k: F.expr(f"shiftleft(1L, cast(pmod(shiftright({k}, 32), 64L) as int))")
+    bitmap = reps.groupBy(word("rep_key").alias("word")).agg(F.bit_or(bit("rep_key")).alias("bits"))
+    named = docs.select(F.col(id_col).alias("t_id"), text_key(text_col).alias("t_key"), F.col(text_col).cast("binary").alias("text"))
+    likely = named.join(F.broadcast(bitmap), word("t_key") == F.col("word")).where(F.col("bits").bitwiseAND(bit("t_key")) != 0)
+    once = likely.groupBy("t_id", "t_key").agg(F.first("text").alias("text"))
+    return reps.join(once, F.col("rep_id").eqNullSafe(F.col("t_id")) & (F.col("rep_key") == F.col("t_key"))).select("cid", "text")
+
+
 def components_of(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(sketch rows without bands, classes with their component's root)."""
     sketches = materialise(sketched(docs, width, id_col, text_col), "neardup-sketches")
@@ -266,14 +285,11 @@ def components_of(docs: DataFrame, width: int, percent: int, id_col: str, text_c
     sizes = groups.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own_block = F.pmod(F.xxhash64("cid"), F.col("blocks").cast("long")).cast("int")
     blocked = groups.join(sizes, "hub").withColumn("home", own_block)
-    # repeated rows fold before the shuffle that brings texts to the classes they stand for
-    named = docs.select(F.col(id_col).alias("rep_id"), text_key(text_col).alias("rep_key"), F.col(text_col).cast("binary").alias("text"))
     reps = classes.select("cid", "rep_id", "rep_key")
+    texts = materialise(texts_of(docs, reps.join(groups.select("cid").distinct(), "cid"), id_col, text_col), "neardup-texts")
 
     def with_text(rows: DataFrame) -> DataFrame:
-        wanted = rows.join(reps, "cid")
-        texts = named.groupBy("rep_id", "rep_key").agg(F.first("text").alias("text")).withColumnsRenamed({"rep_id": "t_id", "rep_key": "t_key"})
-        return wanted.join(texts, F.col("rep_id").eqNullSafe(F.col("t_id")) & (F.col("rep_key") == F.col("t_key")))
+        return rows.join(texts, "cid")
 
     everywhere = F.when(F.col("cid") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))
     first = blocked.select("hub", F.lit(0).alias("part"), F.explode(everywhere).alias("block"), "cid", F.col("cid").alias("root"), F.lit(True).alias("open"), (F.col("cid") == F.col("hub")).alias("lead"))
