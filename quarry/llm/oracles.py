@@ -22,6 +22,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP5 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT r, s FROM (SELECT r, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+common AS (SELECT s, count(*) AS df FROM sh GROUP BY s),
+ranked AS (SELECT sh.r, sh.s, n.n, row_number() OVER (PARTITION BY sh.r ORDER BY common.df, sh.s) AS k FROM sh JOIN common USING (s) JOIN n USING (r)),
+prefix AS (SELECT r, s, n FROM ranked WHERE k <= n - CAST(ceil(n * 0.8) AS BIGINT) + 1),
+cand AS (SELECT DISTINCT a.r AS a, b.r AS b FROM prefix a JOIN prefix b ON a.s = b.s AND a.r < b.r AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n),
+overlap AS (SELECT c.a, c.b, count(*) AS shared FROM cand c JOIN sh x ON x.r = c.a JOIN sh y ON y.r = c.b AND y.s = x.s GROUP BY c.a, c.b),
+links AS (SELECT a, b FROM overlap JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS r, b AS o FROM sym UNION SELECT reach.r, sym.b FROM reach JOIN sym ON sym.a = reach.o),
+least AS (SELECT reach.r, min(d.doc_id) AS low FROM reach JOIN d ON d.r = reach.o GROUP BY reach.r)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(least.low, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(least.low, d.doc_id)) AS kept FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN least ON least.r = d.r
+"""
+
 OP6 = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 f AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(/?INST\]|/?s>|</?SYS>>|ROLE=|/ROLE\])')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 14 + length(role) END AS size FROM c)
@@ -44,6 +60,7 @@ FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
     "op4_top_k": OP4,
+    "op5_near_duplicates": OP5,
     "op6_chat_format": OP6,
     "op7_warc": OP7,
 }
