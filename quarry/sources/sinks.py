@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A folder without this file is never overwritten.
-MARKER = "_KNOWLEDGE_INDEX"
+MARKER = "_QUARRY_INDEX"
 
 
 class RefusedError(RuntimeError):
