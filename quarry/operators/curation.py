@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
-from quarry.operators.prefix import bucket_count, running_offset
+from quarry.operators.prefix import bucket_count, running_in_order, running_offset
 from quarry.session import materialise
 
 
@@ -97,9 +97,8 @@ def round_robin_sample(rows: DataFrame, slice_col: str, id_col: str, k: int, see
 
 def prefix_budget(rows: DataFrame, key: str, order: list[str], amount: str, budget: int) -> DataFrame:
     """Rows of each key in order until the budget is used up; the last one in part (``taken``)."""
-    window = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(amount).over(window), F.lit(0))
-    return rows.withColumn("_before", before).withColumn("taken", F.least(F.col(amount), F.lit(budget) - F.col("_before"))).where("taken > 0").drop("_before")
+    summed = running_in_order(rows, amount, [key], order, "_before")
+    return summed.withColumn("taken", F.least(F.col(amount), F.lit(budget) - F.col("_before"))).where("taken > 0").drop("_before")
 
 
 def first_round_reaching(rounds: DataFrame, key: str, order: str, value: str, floor: float) -> DataFrame:
@@ -114,15 +113,16 @@ def first_round_reaching(rounds: DataFrame, key: str, order: str, value: str, fl
 
 def renamespace(rows: DataFrame, key: str, order: str, names: list[str]) -> DataFrame:
     """The k-th occurrence of a key gets the k-th name in front, beginning anew after the last."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    return rows.withColumn("name", F.concat(F.element_at(F.array(*[F.lit(x) for x in names]), n % len(names) + 1), F.lit("."), F.col(key).cast("string")))
+    counted = running_in_order(rows.withColumn("_one", F.lit(1)), "_one", [key], [order], "_n")
+    name = F.element_at(F.array(*[F.lit(x) for x in names]), (F.col("_n") % len(names) + 1).cast("int"))
+    return counted.withColumn("name", F.concat(name, F.lit("."), F.col(key).cast("string"))).drop("_one", "_n")
 
 
 def unique_suffix(rows: DataFrame, slug: str, order: str) -> DataFrame:
     """Slugs cut at 60 and made unique: the second of a kind gets -2, the next -3."""
-    cut = rows.withColumn("_s", F.substring(slug, 1, 60))
-    n = F.row_number().over(Window.partitionBy("_s").orderBy(order))
-    return cut.withColumn("unique", F.when(n == 1, F.col("_s")).otherwise(F.concat("_s", F.lit("-"), n.cast("string")))).drop("_s")
+    cut = rows.withColumn("_s", F.substring(slug, 1, 60)).withColumn("_one", F.lit(1))
+    counted = running_in_order(cut, "_one", ["_s"], [order], "_n")
+    return counted.withColumn("unique", F.when(F.col("_n") == 0, F.col("_s")).otherwise(F.concat("_s", F.lit("-"), (F.col("_n") + 1).cast("string")))).drop("_s", "_one", "_n")
 
 
 def repetition_loops(docs: DataFrame, id_col: str, text_col: str, longest: int = 20, times: int = 6, least: int = 40) -> DataFrame:

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import materialise
+
 
 def bucket_count(rows: int) -> int:
     """A power of two near sqrt(rows) / 2: as many buckets as a bucket has rows, roughly."""
@@ -45,3 +47,22 @@ def running_offset(df: DataFrame, amount: str, hashed: str, order: list[str], bu
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return marked.withColumn("_within", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(starts, on).withColumn(out, (F.col("_start") + F.col("_within")).cast("long")).drop("_bucket", "_within", "_b", "_start", *[f"_k_{k}" for k in keys])
+
+
+def running_in_order(df: DataFrame, amount: str, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Add ``out``: the sum of ``amount`` over a key's rows that come before, in the order given.
+
+    Rows are dealt by ranges of (keys, order) and written with their range's number, so a key
+    with most rows spans many tasks; a key has at most one sum a range in any window. Rows
+    equal in keys and order must be interchangeable for the caller.
+    """
+    ranged = materialise(df.repartitionByRange(*keys, *order).withColumn("_bucket", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b")).agg(F.sum(amount).alias("_in_bucket"))
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0))).drop("_in_bucket")
+    on = F.col("_bucket") == F.col("_b")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    within = F.coalesce(F.sum(amount).over(inside), F.lit(0))
+    return ranged.withColumn("_within", within).join(starts, on).withColumn(out, F.col("_start") + F.col("_within")).drop("_bucket", "_b", "_start", "_within", *[f"_k_{k}" for k in keys])

@@ -223,3 +223,14 @@ def test_empty_tables(spark):
     assert C.stratified_split(none, "source", "doc_id").count() == 0
     assert C.greedy_curate(none.select("source", "doc_id", X.token_set(F.col("text")).alias("w"), F.lit(1).alias("n")), "source", "doc_id", "w", "n").count() == 0
     assert structure.markdown_chunks(none, "doc_id", "text").count() == 0
+
+
+def test_running_sums_in_order_by_brute_force(spark):
+    from quarry.operators.prefix import running_in_order
+
+    rng = random.Random(10)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", None]), i, rng.randint(0, 9)) for i in range(400)]
+    found = running_in_order(spark.createDataFrame(rows, "k string, o int, x int"), "x", ["k"], ["o"], "before").collect()
+    assert {r.o: r.before for r in found} == {o: sum(y for j, p, y in rows if j == k and p < o) for k, o, _ in rows}
+    left = C.prefix_budget(spark.createDataFrame(rows, "k string, o int, x int"), "k", ["o"], "x", 100).groupBy("k").agg(F.sum("taken").alias("t")).collect()
+    assert all(r.t == min(100, sum(x for k, _, x in rows if k == r.k)) for r in left)
