@@ -18,8 +18,8 @@ def quote_overlap_recall(spark, sf_dir):
     """Benchmark items that the documents of a language hold; keys are (language, item)."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     hits = _pairs(spark, sf_dir).join(d.select("doc_id", "lang"), "doc_id").select("lang", "item_id")
-    langs = d.groupBy().agg(F.collect_set("lang").alias("l")).select(F.explode("l").alias("lang"))  # a handful
-    reference = b.where(F.length("text") >= 12).select("item_id").crossJoin(F.broadcast(langs))
+    langs = d.groupBy().agg(F.collect_set("lang").alias("l")).select(F.explode("l").alias("lang"))
+    reference = b.where(F.length("text") >= 12).select("item_id").crossJoin(langs)
     return V.recall(reference, hits, ["lang", "item_id"], ["lang"])
 
 
