@@ -162,7 +162,10 @@ def ledger_corrupt_lines(spark, sf_dir):
     return jsonl.judged_lines(lines, "line").select(F.col("event_id").alias("line_key"), "corrupt")
 
 
-@query("sft_pipeline")
+@query("sft_pipeline", f"""WITH g AS (SELECT doc_id, lang, sha256({NORM}) AS h FROM documents WHERE length(text) >= 200 AND doc_id NOT IN (SELECT item_id FROM benchmark) AND sha256({NORM}) NOT IN (SELECT sha256({NORM}) FROM benchmark)),
+o AS (SELECT min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM g GROUP BY h),
+r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY substr(sha256('42|' || doc_id), 1, 15), doc_id) AS n, count(*) OVER (PARTITION BY lang) AS size FROM o)
+SELECT doc_id, lang, CASE WHEN n <= greatest(1, round_even(size * 0.1, 0)) THEN 'val' ELSE 'train' END AS part FROM r""")
 def sft_pipeline(spark, sf_dir):
     """Guard, route, gate, de-duplicate, split: the training records and their parts."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")

@@ -96,22 +96,23 @@ def claim_gate(spark, sf_dir):
     return E.claim_gate(B.claims(spark, sf_dir), _evidence(spark, sf_dir), B.chunks(spark, sf_dir))
 
 
-@query("dossier", CHECK + """, asked AS (SELECT 'c_' || (item_id * 3) AS claim_id, item_id AS pos FROM benchmark UNION ALL SELECT 'c_missing', -1),
+DOSSIER = CHECK + """, asked AS (SELECT 'c_' || doc_id AS claim_id, doc_id AS pos FROM documents UNION ALL SELECT 'c_missing', -1),
 bad AS (SELECT claim_id, string_agg(locator, ', ' ORDER BY locator) AS bad FROM judged WHERE reason IS NOT NULL GROUP BY claim_id),
-verdict AS (SELECT a.pos, a.claim_id, c.claim, CASE WHEN c.claim_id IS NULL THEN 'not found' WHEN c.n_evidence = 0 THEN 'no evidence' WHEN b.bad IS NOT NULL THEN 'not verbatim: ' || b.bad ELSE '' END AS reason FROM asked a LEFT JOIN checked c ON c.claim_id = a.claim_id LEFT JOIN bad b ON b.claim_id = a.claim_id)
-SELECT pos, claim_id, CASE WHEN reason = '' THEN 'included' ELSE 'rejected' END AS status, reason, claim FROM verdict""")
+verdict AS (SELECT a.pos, a.claim_id, c.claim, CASE WHEN c.claim_id IS NULL THEN 'not found' WHEN c.n_evidence = 0 THEN 'no evidence' WHEN b.bad IS NOT NULL THEN 'not verbatim: ' || b.bad ELSE '' END AS reason FROM asked a LEFT JOIN checked c ON c.claim_id = a.claim_id LEFT JOIN bad b ON b.claim_id = a.claim_id)"""
+
+
+@query("dossier", DOSSIER + """ SELECT pos, claim_id, CASE WHEN reason = '' THEN 'included' ELSE 'rejected' END AS status, reason, claim FROM verdict""")
 def dossier(spark, sf_dir):
     return _dossier(spark, sf_dir)
 
 
 def _dossier(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark")
-    ids = b.select(F.concat(F.lit("c_"), (F.col("item_id") * 3).cast("string")).alias("claim_id"), F.col("item_id").alias("pos"))
+    ids = table(spark, sf_dir, "documents").select(F.concat(F.lit("c_"), F.col("doc_id").cast("string")).alias("claim_id"), F.col("doc_id").alias("pos"))
     ids = ids.union(spark.createDataFrame([("c_missing", -1)], "claim_id string, pos long"))
     return E.dossier(ids, B.claims(spark, sf_dir), _evidence(spark, sf_dir), B.chunks(spark, sf_dir))
 
 
-@query("dossier_markdown")
+@query("dossier_markdown", DOSSIER + """ SELECT coalesce(string_agg(n || '. ' || claim || ' [claim:' || claim_id || ']', chr(10) ORDER BY pos), '') || chr(10) || chr(10) || 'Omitted: ' || (SELECT count(*) FROM verdict WHERE reason <> '') AS markdown FROM (SELECT *, row_number() OVER (ORDER BY pos) AS n FROM verdict WHERE reason = '')""")
 def dossier_markdown(spark, sf_dir):
     return E.render_dossier(_dossier(spark, sf_dir))
 
