@@ -2,6 +2,23 @@
 
 from __future__ import annotations
 
+from quarry.llm.licences import BASE, LEAST_SHARE, NOTICES
+
+
+def _strings(words: tuple[bytes, ...]) -> str:
+    return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+
+def _templates() -> str:
+    """The licence templates as SQL rows: number, label, base, words, phrase, the phrase's place."""
+    rows = []
+    for k, t in enumerate([*BASE, *NOTICES]):
+        (phrase,) = t.phrases
+        at = next(i for i in range(len(t.words)) if t.words[i : i + len(phrase)] == phrase)
+        rows.append(f"({k}, '{t.label}', {str(t.base).lower()}, {_strings(t.words)}, {_strings(phrase)}, {at})")
+    return ", ".join(rows)
+
+
 OP2 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -57,10 +74,21 @@ CASE WHEN g.html IS NULL OR p.page_id IS NOT DISTINCT FROM g.largest THEN NULL E
 FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html
 """
 
+OP9 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT * FROM (VALUES {_templates()}) AS x(k, label, base, body, phrase, place)),
+near AS (SELECT r, w, t.* FROM d JOIN t ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(phrase, ' ') || ' ')),
+here AS (SELECT * FROM (SELECT *, unnest(range(1, len(w) - len(phrase) + 2)) AS i FROM near) WHERE w[i : i + len(phrase) - 1] = phrase),
+m AS (SELECT r, label, base, i - 1 AS start, len(list_filter(range(1, len(body) + 1), lambda j: i - place + j - 1 >= 1 AND coalesce(w[i - place + j - 1] = body[j], false))) / CAST(len(body) AS DOUBLE) AS share FROM here),
+g AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m WHERE share >= {LEAST_SHARE} GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM d LEFT JOIN g ON g.r = d.r
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
     "op4_top_k": OP4,
     "op5_near_duplicates": OP5,
     "op6_chat_format": OP6,
     "op7_warc": OP7,
+    "op9_licences": OP9,
 }
