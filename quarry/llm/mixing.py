@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from decimal import Decimal, getcontext
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.prefix import bucket_count, running_offset
@@ -47,6 +47,17 @@ _INVERSE_PHI = (Decimal(5).sqrt() - 1) / 2
 _FINE, _COARSE = float(_INVERSE_PHI), float((_INVERSE_PHI * 65536) % 1)
 
 
+def text_key(text: Column) -> Column:
+    """What tells texts apart; a null text is not the empty one."""
+    return F.sha2(F.coalesce(F.concat(F.lit("t"), text), F.lit("")), 256)
+
+
+def shuffled(seed: int, row_id: Column, key: Column) -> Column:
+    """60 bits of a SHA-256, so that any SQL engine can repeat the shuffle, as the high bits of a long."""
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.coalesce(row_id.cast("string"), F.lit("")), key), 256)
+    return F.shiftleft(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 4)
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
     """(id, source, size, text_key, h): what the schedule needs of each document."""
     text = F.col(text_col)
@@ -54,8 +65,8 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: in
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()).alias("text_key"),
-    ).withColumn("h", F.xxhash64(F.lit(seed).cast("long"), "id", "text_key"))
+        text_key(text).alias("text_key"),
+    ).withColumn("h", shuffled(seed, F.col("id"), F.col("text_key")))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -150,6 +161,6 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     turns = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).agg(F.sum(F.expr("(2 * taken + size) div (2 * size)")).alias("_turns"))
     text = F.col(text_col)
-    named = docs.select(F.col(id_col).alias("own_id"), F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = docs.select(F.col(id_col).alias("own_id"), text_key(text).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     once = named.join(turns.where("_turns > 0"), F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_key") == F.col("_key")))
     return once.dropDuplicates(["own_id", "own_key"]).withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns")))).select("row.*")

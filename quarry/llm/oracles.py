@@ -32,6 +32,27 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hits.n_hit,
 FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r
 """
 
+#: The slots a source gets are counted; its words up to there, over the repeats, are taken.
+OP3 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, sha256(coalesce('t' || text, '')) AS text_key FROM documents),
+e AS (SELECT *, CAST('0x' || substr(sha256('20240301|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_key), 1, 15) AS BIGINT) AS h FROM d),
+s1 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s2 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number, 3.0 * source_size AS cap, CAST(sum(source_size) OVER () AS DOUBLE) AS total FROM s1),
+s3 AS (SELECT *, CAST([5.0, 2.0, 1.0][number % 3 + 1] AS DOUBLE) AS weight FROM s2),
+s4 AS (SELECT *, total - coalesce(sum(cap) OVER (ORDER BY cap / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(weight) OVER (ORDER BY cap / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS sharing FROM s3),
+s5 AS (SELECT *, rest * weight > cap * sharing AS capped FROM s4),
+s6 AS (SELECT *, CASE WHEN capped OR cap = 0 THEN CAST(cap AS DOUBLE) ELSE CAST((total - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0)) / sum(weight) FILTER (WHERE NOT capped) OVER () * weight AS DOUBLE) END AS target FROM s5),
+s7 AS (SELECT *, CASE WHEN number = max(number) OVER () THEN 1.0 ELSE coalesce(sum(target) OVER (ORDER BY number) / nullif(sum(target) OVER (), 0), 0) END AS high FROM s6),
+s8 AS (SELECT *, coalesce(lag(high) OVER (ORDER BY number), 0) AS low FROM s7),
+b AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, least(4096, greatest(1, CAST(sum(source_size) AS BIGINT) >> 20)) AS block FROM s1),
+points AS (SELECT slot, x - floor(x) AS point FROM (SELECT slot, (slot % 65536) * CAST(0.6180339887498949 AS DOUBLE) + (slot // 65536) * CAST(0.47548671310877194 AS DOUBLE) AS x FROM (SELECT unnest(range((total + block - 1) // block)) AS slot FROM b))),
+slots AS (SELECT number, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank FROM points JOIN s8 ON point >= low AND point < high),
+counts AS (SELECT number, count(*) * (SELECT block FROM b) AS reach FROM slots GROUP BY number),
+o AS (SELECT e.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM e)
+SELECT o.doc_id, o.size, s.source_size, s.target, CAST(greatest(0, least(a + size, coalesce(reach, 0)) - a) + greatest(0, least(a + size, coalesce(reach, 0) - source_size) - a) + greatest(0, least(a + size, coalesce(reach, 0) - 2 * source_size) - a) AS BIGINT) AS taken
+FROM o JOIN s8 s ON o.source IS NOT DISTINCT FROM s.source LEFT JOIN counts c ON c.number = s.number
+"""
+
 OP4 = r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
@@ -86,6 +107,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
+    "op3_mixing": OP3,
     "op4_top_k": OP4,
     "op5_near_duplicates": OP5,
     "op6_chat_format": OP6,
