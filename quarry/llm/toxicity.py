@@ -9,14 +9,15 @@ exactly zero. What is scored with is the list of non-zero weights, a few thousan
 by the number of places.
 
 Training reads a bounded sample of labelled rows (``SAMPLE``: the rows with the smallest
-hash of their id) in one task that keeps only feature numbers. Scoring is a map over all
+hash of their id, an id once) in one task that keeps only feature numbers. Scoring is a map over all
 rows in Arrow batches, with the weights broadcast; the text never moves.
 
 Learning and holding out: a row is held out if crc32(id as text) mod 5 is 0; only labels
 of the others are read. Label, language, source and id are never features.
 
 Results by case: null and empty texts have no words and get the score of the intercept;
-null labels are no labels; an id labelled twice counts once, as toxic if either says so;
+null labels are no labels; an id labelled twice counts once, as toxic if either says so,
+and an id with several texts teaches its smallest;
 without labels of both kinds every score is the smoothed share of toxic labels, 0.1 for
 none; repeated rows each get their
 row; an empty table gives no rows.
@@ -117,7 +118,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("text"))
     # at most ``sample`` ids: small enough for every executor, so the scan filters in place
-    return texts.join(F.broadcast(chosen), "_id").select(F.xxhash64("_id").alias("place"), "text", "label")
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return found.select(F.xxhash64("_id").alias("place"), "text", "label")
 
 
 def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, float]:
