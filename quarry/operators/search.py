@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
+from quarry.session import materialise
 
 #: BM25 parameters and the rank constant of fusion: the published defaults.
 K1, B, RRF_K = 1.2, 0.75, 60
@@ -21,7 +22,8 @@ def bm25_scores(docs: DataFrame, id_col: str, text_col: str, query: str) -> Data
     """(id, score) of every document with a query term.
 
     One map over the texts computes each document's length and its counts of the query's
-    terms, so nothing but those counts is aggregated; collection figures are one row.
+    terms. Those few numbers are written out, since both the collection figures (one row)
+    and the scores come from them; the texts are read and cut into words once.
     """
     terms = sorted({t for t in _query_terms(query)})
     if not terms:
@@ -30,6 +32,7 @@ def bm25_scores(docs: DataFrame, id_col: str, text_col: str, query: str) -> Data
     counted = docs.select(F.col(id_col).alias("id"), words.alias("w")).select(
         "id", F.size("w").cast("long").alias("dl"), *[_occurrences("w", t).alias(f"tf{i}") for i, t in enumerate(terms)]
     )
+    counted = materialise(counted, "bm25-counts")
     figures = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.sum(F.when(F.col(f"tf{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(terms))])
     hit = F.lit(False)
     for i in range(len(terms)):
