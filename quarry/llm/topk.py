@@ -15,7 +15,7 @@ routing object, and the entries' stored distances to the page's routing object.
 
 A query first searches its home shard, best page first; its k-th best score then rules out
 every shard whose ring the triangle inequality keeps farther away, and it visits the
-others with that bound. In a shard, |d(q, parent) - d(page, parent)| - radius decides
+others with that bound; the rings are read in passes of ``DIRECTORY``. In a shard, |d(q, parent) - d(page, parent)| - radius decides
 without a distance computation whether a page can matter, then d(q, page) - radius, then
 |d(q, page) - d(entry, page)| whether an entry can.
 
@@ -45,6 +45,8 @@ from quarry.session import materialise
 #: vectors with the smallest hashes.
 PIVOTS = 256
 SHARD, PAGE, BLOCK = 8_192, 64, 2_048
+#: Shards whose rings one pass of routing holds: about 40 bytes each.
+DIRECTORY = 131_072
 QUERY_STEP = 50
 SCALE = 256
 #: Bounds are doubles of integers under 2**53; this margin covers their rounding.
@@ -173,32 +175,40 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str
     full = ringed.groupBy("pivot", "ring").agg(F.count(F.lit(1)).alias("m")).withColumnsRenamed({"pivot": "p2", "ring": "r2"})
     salted = ringed.join(full, (F.col("pivot") == F.col("p2")) & (F.col("ring") == F.col("r2"))).withColumn("salt", F.pmod(F.xxhash64("v"), F.ceil(F.col("m") / (2 * SHARD)).cast("long")).cast("int"))
     sharded = materialise(salted.select("v", "ids", "distance", "pivot", F.concat_ws("-", "pivot", "ring", "salt").alias("shard")), "topk-sharded")
-    directory = sharded.groupBy("shard", "pivot").agg(F.min("distance").alias("inner"), F.max("distance").alias("outer"))
-    # one row a shard: about (vectors / SHARD) + PIVOTS rows of 40 bytes, and read block by block
-    entries = [(r.shard, r.pivot, r.inner, r.outer) for r in directory.orderBy("pivot", "shard").collect()]
-    shards = spark.sparkContext.broadcast(entries)
-
-    def routes(batches: Iterator[pd.DataFrame], bounded: bool) -> Iterator[pd.DataFrame]:
-        names = np.array([e[0] for e in shards.value])
-        of = np.array([e[1] for e in shards.value])
-        inner, outer = np.array([e[2] for e in shards.value]), np.array([e[3] for e in shards.value])
+    directory = materialise(sharded.groupBy("shard", "pivot").agg(F.min("distance").alias("inner"), F.max("distance").alias("outer")), "topk-directory")
+    passes = max(1, -(-directory.count() // DIRECTORY))
+
+    def query_matrix(batch: pd.DataFrame) -> np.ndarray:
+        return np.hstack([matrix(list(batch["v"]), width), np.zeros((len(batch), 1))])
+
+    def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Queries with the shard of their own vector, and the distance to its routing object."""
         for batch in batches:
-            out = []
-            if not len(batch):
-                continue
-            q = np.hstack([matrix(list(batch["v"]), width), np.zeros((len(batch), 1))])
-            d = distances(q, shared.value)[:, of]
-            away = np.maximum(0.0, np.maximum(d - outer[None], inner[None] - d))
-            home = np.lexsort((np.arange(len(names))[None].repeat(len(batch), 0), d, away))[:, 0]
-            for i, row in enumerate(batch.itertuples(index=False)):
-                if bounded:
-                    reach = np.sqrt(max(0.0, float(q[i] @ q[i]) + most - 2 * row.bound)) if row.bound is not None and not pd.isna(row.bound) else float("inf")
-                    at = np.flatnonzero(away[i] <= reach + MARGIN)
-                    at = at[at != home[i]]
-                else:
-                    at = home[i : i + 1]
-                out += [(names[j], row.id, row.v, None if not bounded or pd.isna(row.bound) else int(row.bound), float(d[i, j]), int(of[j])) for j in at]
-            yield pd.DataFrame(out, columns=["shard", "id", "v", "bound", "to_parent", "pivot"]).astype({"bound": "Int64"})
+            if len(batch):
+                batch["to_parent"] = np.sqrt(np.maximum(0.0, ((query_matrix(batch) - shared.value[batch["pivot"]]) ** 2).sum(1)))
+                yield batch[["shard", "id", "v", "bound", "to_parent", "pivot"]]
+
+    def routed_in(part: int) -> DataFrame:
+        """Bounded queries with every other shard, of one pass over the directory, that can matter."""
+        rows = directory.where(F.pmod(F.xxhash64("shard"), F.lit(passes)) == part).orderBy("pivot", "shard").collect()
+        entries = spark.sparkContext.broadcast(([r.shard for r in rows], np.array([r.pivot for r in rows], dtype=np.int64), np.array([r.inner for r in rows]), np.array([r.outer for r in rows])))
+
+        def routes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            names, of, inner, outer = entries.value
+            for batch in batches:
+                if not len(batch):
+                    continue
+                q = query_matrix(batch)
+                d = distances(q, shared.value)
+                out = []
+                for i, row in enumerate(batch.itertuples(index=False)):
+                    bound = None if pd.isna(row.bound) else int(row.bound)
+                    reach = float("inf") if bound is None else np.sqrt(max(0.0, float(q[i] @ q[i]) + most - 2 * bound))
+                    away = np.maximum(d[i, of] - outer, inner - d[i, of])
+                    out += [(names[j], row.id, row.v, bound, float(d[i, of[j]]), int(of[j])) for j in np.flatnonzero(away <= reach + MARGIN) if names[j] != row.home]
+                yield pd.DataFrame(out, columns=["shard", "id", "v", "bound", "to_parent", "pivot"]).astype({"bound": "Int64"})
+
+        return bounded.mapInPandas(routes, route_schema)
 
     route_schema = "shard string, id long, v array<long>, bound long, to_parent double, pivot int"
 
@@ -225,8 +235,12 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str
 
     queries = points.where(F.col("id") % step == 0)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    home = materialise(visit(queries.mapInPandas(lambda b: routes(b, False), route_schema).select("shard", "id", "v", "bound", "to_parent", "pivot")), "topk-home")
+    own = queries.join(sharded.select(F.col("v").alias("own_v"), "shard", "pivot"), F.col("v") == F.col("own_v")).select("id", "v", "shard", "pivot", F.lit(None).cast("long").alias("bound"))
+    own = materialise(own, "topk-queries")
+    home = materialise(visit(own.mapInPandas(at_home, route_schema)), "topk-home")
     bounds = home.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
-    bounded = queries.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "v", "bound")
-    away = visit(bounded.mapInPandas(lambda b: routes(b, True), route_schema))
-    return home.unionByName(away).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    bounded = own.drop("bound").join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "v", "bound", F.col("shard").alias("home"))
+    found = home
+    for part in range(passes):
+        found = found.unionByName(visit(routed_in(part)))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -186,7 +186,7 @@ def test_schedule_is_even_and_ranks_have_no_gaps(spark):
 @pytest.mark.parametrize("small", [False, True])
 def test_top_k_by_brute_force(spark, small, monkeypatch):
     if small:
-        for name, value in (("SHARD", 12), ("BLOCK", 3), ("PIVOTS", 6)):
+        for name, value in (("SHARD", 12), ("BLOCK", 3), ("PIVOTS", 6), ("DIRECTORY", 7)):
             monkeypatch.setattr(topk, name, value)
     rng = random.Random(4)
     v = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(160)]
