@@ -2,24 +2,23 @@
 
 Features of a text: its distinct words, adjacent word pairs and skip-grams (pairs with up
 to ``SKIP`` words between), hashed into 2**BITS places; words also count by their first
-``STEMS`` bytes, so that inflected and compounded forms share what is learned. FTRL-proximal keeps for each
-coordinate the sum of adjusted gradients z and of squared gradients n: the learning rate
-of a coordinate falls with its own n, and an L1 threshold on z leaves most weights at
-exactly zero. What is scored with is the list of non-zero weights, a few thousand, bounded
-by the number of places.
+``STEMS`` bytes, so that inflected and compounded forms share what is learned.
+FTRL-proximal keeps for each coordinate the sum of adjusted gradients z and of squared
+gradients n: the learning rate of a coordinate falls with its own n, and an L1 threshold
+on z leaves most weights at exactly zero. What is scored with is the list of non-zero
+weights, a few thousand, bounded by the number of places.
 
 Training reads a bounded sample of labelled rows (``SAMPLE``: the rows with the smallest
-hash of their id, an id once) in one task that keeps only feature numbers. Scoring is a map over all
-rows in Arrow batches, with the weights broadcast; the text never moves.
+hash of their id, an id once) in one task that keeps only feature numbers. Scoring is a
+map over all rows in Arrow batches, with the weights broadcast; the text never moves.
 
 Learning and holding out: a row is held out if crc32(id as text) mod 5 is 0; only labels
 of the others are read. Label, language, source and id are never features.
 
 Results by case: null and empty texts have no words and get the score of the intercept;
 null labels are no labels; an id labelled twice counts once, as toxic if either says so,
-and an id with several texts teaches its smallest;
-without labels of both kinds every score is the smoothed share of toxic labels, 0.1 for
-none; repeated rows each get their
+and an id with several texts teaches its smallest; without labels of both kinds every
+score is the smoothed share of toxic labels, 0.1 for none; repeated rows each get their
 row; an empty table gives no rows.
 """
 
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.words import Hashes, alnum, scrambled
+from quarry.llm.words import alnum, scrambled
 
 BITS = 20
 #: Words between the two of a skip-gram, at most.
@@ -52,18 +51,25 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-class Stems(dict):
-    """64-bit hashes of words' beginnings, remembered; of bounded size."""
+class WordTable(dict):
+    """Numbers of words, and by number the hashes of the word and of its beginnings."""
 
-    def __init__(self, length: int, memo: int = 300_000):
+    def __init__(self, size: int = 300_000):
         super().__init__()
-        self.length, self.memo = length, memo
+        self.hashes = np.empty((size, 1 + len(STEMS)), dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.memo:
+        n = self[word] = len(self)
+        self.hashes[n] = [xxhash.xxh3_64_intdigest(word), *(xxhash.xxh3_64_intdigest(word[:k], seed=k) for k in STEMS)]
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """A row of hashes for each word; the table starts anew when it could get too small."""
+        if len(self) + len(words) > len(self.hashes):
             self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word[: self.length], seed=self.length)
-        return found
+            if len(words) > len(self.hashes):
+                self.hashes = np.empty((len(words), self.hashes.shape[1]), dtype=np.uint64)
+        return self.hashes[np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
 class Features:
@@ -71,18 +77,17 @@ class Features:
 
     def __init__(self, bits: int = BITS):
         self.shift = np.uint64(64 - bits)
-        self.hashes, self.stems = Hashes(300_000), [Stems(k) for k in STEMS]
+        self.table = WordTable()
 
     def of(self, text: bytes | None) -> np.ndarray:
         """With repeats, in no particular order."""
-        words = alnum(text or b"")
-        hashes = self.hashes.of(words)
-        parts = [scrambled(hashes)]
-        parts += [scrambled(np.fromiter(map(stem.__getitem__, words), dtype=np.uint64, count=len(words))) for stem in self.stems]
+        rows = self.table.of(alnum(text or b""))
+        words = rows[:, 0]
+        parts = [rows.ravel()]
         for gap in range(1, SKIP + 2):
-            if len(hashes) > gap:
-                parts.append(scrambled(hashes[:-gap] * _TURN + hashes[gap:] + np.uint64(gap)))
-        return (np.concatenate(parts) >> self.shift).astype(np.int64)
+            if len(words) > gap:
+                parts.append(words[:-gap] * _TURN + words[gap:] + np.uint64(gap))
+        return (scrambled(np.concatenate(parts)) >> self.shift).astype(np.int64)
 
 
 class Ftrl:
