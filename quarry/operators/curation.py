@@ -58,15 +58,16 @@ def near_copies(left: DataFrame, right: DataFrame, percent: int = 80) -> DataFra
     Exact by prefix filtering: with both sets in one order (long words first, which are
     rare), sets that alike share a word among their first |w| - ceil(|w| * p) + 1.
     """
-    def prefixed(df: DataFrame, name: str) -> DataFrame:
+    def prefixed(df: DataFrame, name: str, words: str) -> DataFrame:
         ordered = F.transform(F.array_sort(F.transform("w", lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x")))), lambda s: s["x"])
         n = F.size("w")
         keep = n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1
-        return df.where(n > 0).select(F.col("id").alias(name), F.explode(F.slice(ordered, F.lit(1), keep)).alias("x"))
+        return df.where(n > 0).select(F.col("id").alias(name), F.col("w").alias(words), F.explode(F.slice(ordered, F.lit(1), keep)).alias("x"))
 
-    pairs = prefixed(left, "left_id").join(prefixed(right, "right_id"), "x").select("left_id", "right_id").distinct()
-    sized = pairs.join(left.select(F.col("id").alias("left_id"), F.col("w").alias("lw")), "left_id").join(right.select(F.col("id").alias("right_id"), F.col("w").alias("rw")), "right_id")
-    return sized.withColumn("like", X.jaccard(F.col("lw"), F.col("rw"))).where(F.col("like") >= percent / 100).select("left_id", "right_id", "like")
+    # the sets travel with their prefix words, so a pair is judged where it meets
+    met = prefixed(left, "left_id", "lw").join(prefixed(right, "right_id", "rw"), "x")
+    close = (100 * F.least(F.size("lw"), F.size("rw")) >= percent * F.greatest(F.size("lw"), F.size("rw"))) & (X.jaccard(F.col("lw"), F.col("rw")) >= percent / 100)
+    return met.where(close).select("left_id", "right_id", X.jaccard(F.col("lw"), F.col("rw")).alias("like")).distinct()
 
 
 def stratified_split(rows: DataFrame, stratum: str, id_col: str, share: float = 0.1, seed: int = 42) -> DataFrame:

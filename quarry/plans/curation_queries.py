@@ -57,10 +57,10 @@ def near_copy(spark, sf_dir):
 
     def cut(df, id_col):
         s = df.select(F.col(id_col).alias("owner"), F.explode(X.sentences(F.col("text"))).alias("sentence"))
-        return s.select(F.struct("owner", "sentence").alias("id"), X.token_set(F.col("sentence")).alias("w"))
+        return s.select(F.struct("owner", F.md5("sentence").alias("digest")).alias("id"), X.token_set(F.col("sentence")).alias("w"))
 
     found = C.near_copies(cut(table(spark, sf_dir, "documents"), "doc_id"), cut(table(spark, sf_dir, "benchmark"), "item_id"))
-    return found.where("left_id.sentence <> right_id.sentence").select(F.col("left_id.owner").alias("doc_id"), F.col("right_id.owner").alias("item_id")).distinct()
+    return found.where("left_id.digest <> right_id.digest").select(F.col("left_id.owner").alias("doc_id"), F.col("right_id.owner").alias("item_id")).distinct()
 
 
 @query("greedy_curate")

@@ -27,9 +27,21 @@ def session(master: str = "local[8]", app: str = "quarry", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+#: A table of fewer files than cores and more bytes than this is spread before use.
+SPREAD_BYTES = 2_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of a data directory, read lazily (the scan prunes columns and filters)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One table of a data directory, read lazily (the scan prunes columns and filters).
+
+    A file can be one row group, which one task reads and then works on alone. Where there
+    are fewer files than cores the rows are dealt out anew, a small price for using all
+    cores; large tables have more files than that and are left as they lie.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size > SPREAD_BYTES and len(df.inputFiles()) < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
