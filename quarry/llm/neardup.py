@@ -30,7 +30,6 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
 
 import numpy as np
 import pyarrow as pa
