@@ -9,8 +9,9 @@ A file's licence words are looked up from the highest IDF down: an anchor's occu
 the file, less its position in the template, propose alignments; intersecting the postings
 of the other template words at the same relative positions gives the share of the template
 that stands there, and the key phrases are verified word by word. Every place of a key
-phrase holds its anchor, so no place is missed. A file without any anchor is passed by
-after one set test.
+phrase holds its anchor, so no place is missed. A verified key phrase gives its label, and
+the share is its score; only templates whose key phrase stands in other licences too ask
+for a least share. A file without any anchor is passed by after one set test.
 
 Both passes are maps over Arrow batches; only the counts of template words (a fixed, small
 vocabulary) are shuffled. Results by case: a null text has no words; places may overlap and
@@ -32,7 +33,8 @@ from pyspark.sql import types as T
 
 from quarry.llm.words import alnum
 
-#: Least share of a template's words that must stand at their relative positions.
+#: Least share of a template's words at their relative positions, for templates whose key
+#: phrase other licences have too. The SQL asks it of every template.
 LEAST_SHARE = 0.6
 
 
@@ -44,11 +46,12 @@ class Template:
     words: tuple[bytes, ...]
     phrases: tuple[tuple[bytes, ...], ...]
     base: bool = False
+    least: float = 0.0
 
 
-def template(label: str, notice: str, *phrases: str, base: bool = False) -> Template:
+def template(label: str, notice: str, *phrases: str, base: bool = False, least: float = 0.0) -> Template:
     cut = lambda s: tuple(alnum(s.encode()))
-    return Template(label, cut(notice), tuple(cut(p) for p in phrases or (notice,)), base)
+    return Template(label, cut(notice), tuple(cut(p) for p in phrases or (notice,)), base, least)
 
 
 #: The phrases of the contract: fixed values.
@@ -59,22 +62,56 @@ BASE = [
 ]
 #: Short forms of public licence notices, with their key phrases: fixed values.
 NOTICES = [
-    template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
+    template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge", least=LEAST_SHARE),
     template("mit", "Released under the MIT License", "mit license"),
     template("apache-2", "Licensed under the Apache License, Version 2.0", "apache license version 2 0"),
     template("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc by nc"),
     template("cc-by-nc", "Creative Commons Attribution-NonCommercial 4.0 International License", "attribution noncommercial"),
     template("cc-by", "Licensed under CC BY 4.0", "cc by 4 0"),
     template("cc-by-sa", "Licensed under CC BY-SA 4.0", "cc by sa"),
-    template("cc0", "CC0 1.0 Universal Public Domain Dedication", "public domain dedication"),
+    template("cc0", "CC0 1.0 Universal Public Domain Dedication", "public domain dedication", least=LEAST_SHARE),
     template("gpl-3", "This work is licensed under the GNU General Public License, version 3", "gnu general public license version 3"),
     template("gpl-2", "This work is licensed under the GNU General Public License, version 2", "gnu general public license version 2"),
     template("lgpl", "This library is free software under the GNU Lesser General Public License", "gnu lesser general public license"),
     template("agpl", "under the terms of the GNU Affero General Public License", "gnu affero general public license"),
     template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution and use in source and binary forms"),
-    template("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
+    template("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license", least=LEAST_SHARE),
     template("unlicense", "This is free and unencumbered software released into the public domain", "free and unencumbered software"),
     template("all-rights-reserved", "All rights reserved", "all rights reserved"),
+    # titles and standard notices
+    template("mit", "MIT License", "mit license"),
+    template("mit", "The MIT License", "mit license"),
+    template("apache-2", "Apache License Version 2.0, January 2004", "apache license version 2 0"),
+    template("cc-by", "Licensed under CC BY 3.0", "cc by 3 0"),
+    template("cc-by", "Creative Commons Attribution 4.0 International License", "attribution 4 0 international"),
+    template("cc-by", "Creative Commons Attribution 3.0 Unported License", "attribution 3 0 unported"),
+    template("cc-by-sa", "Creative Commons Attribution-ShareAlike 4.0 International License", "attribution sharealike"),
+    template("cc-by-sa", "Creative Commons Attribution-ShareAlike 3.0 Unported License", "attribution sharealike"),
+    template("cc-by-sa", "CC BY-SA 3.0", "cc by sa"),
+    template("cc-by-sa", "CC BY-SA 4.0", "cc by sa"),
+    template("cc-by-nc", "CC BY-NC 4.0", "cc by nc"),
+    template("cc0", "CC0 1.0 Universal", "cc0 1 0"),
+    template("gpl-3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gnu general public license version 3"),
+    template("gpl-3", "under the terms of the GNU General Public License, version 3", "gnu general public license version 3"),
+    template("gpl-3", "GNU General Public License v3.0", "gnu general public license v3"),
+    template("gpl-3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "gnu general public license as published by the free software foundation either version 3"),
+    template("gpl-3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3 of the License", "gnu general public license as published by the free software foundation version 3"),
+    template("gpl-2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "gnu general public license version 2"),
+    template("gpl-2", "under the terms of the GNU General Public License, version 2", "gnu general public license version 2"),
+    template("gpl-2", "GNU General Public License v2.0", "gnu general public license v2"),
+    template("gpl-2", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version", "gnu general public license as published by the free software foundation either version 2"),
+    template("gpl-2", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License", "gnu general public license as published by the free software foundation version 2"),
+    template("lgpl", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gnu lesser general public license"),
+    template("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "gnu lesser general public license"),
+    template("lgpl", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "gnu lesser general public license"),
+    template("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version", "gnu lesser general public license"),
+    template("lgpl", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991", "gnu library general public license"),
+    template("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version", "gnu library general public license"),
+    template("lgpl", "under the terms of the GNU Lesser General Public License", "gnu lesser general public license"),
+    template("agpl", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", "gnu affero general public license"),
+    template("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "gnu affero general public license"),
+    template("mpl-2", "Mozilla Public License Version 2.0", "mozilla public license version 2 0"),
+    template("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license v 2 0"),
 ]
 
 
@@ -116,7 +153,7 @@ class PositionalIndex:
                     if all(start + i >= 0 and tuple(words[start + i : start + i + len(p)]) == p for i, p in self.places[k]):
                         here = words[max(0, start) : start + len(body)]
                         share = sum(map(bytes.__eq__, here, body[max(0, -start) :])) / len(body)
-                        if share >= LEAST_SHARE:
+                        if share >= self.templates[k].least:
                             out.append((k, start + self.places[k][0][0], share))
         return out
 

@@ -389,6 +389,32 @@ def test_licences_by_brute_force(spark, odd, none):
     assert named[1][0] == "gpl-3" and named[1][1] == 1.0 and named[2] == ("", 0.0) and named[4][0] == "cc-by-nc"
 
 
+FSF = "as published by the Free Software Foundation"
+REAL = [
+    ("GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n", "gpl-3", 1.0),
+    ("under the terms of the GNU General Public License, version 3", "gpl-3", 1.0),
+    (f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License {FSF}, either version 3 of the License, or (at your option) any later version.", "gpl-3", 1.0),
+    (f"you can redistribute it and/or modify\n * it under the terms of the GNU General Public License\n * {FSF}; either version 2\n * of the License, or (at your option) any later version.", "gpl-2", 1.0),
+    (f"modify it under the terms of the GNU Lesser General Public License {FSF}; either version 2.1 of the License, or (at your option) any later version.", "lgpl", 1.0),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", "agpl", 1.0),
+    ("Mozilla Public License Version 2.0\n====", "mpl-2", 1.0),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL", "mpl-2", 1.0),
+    ("CC BY-SA 3.0", "cc-by-sa", 1.0),
+    ("photo: CC BY-SA 2.5", "cc-by-sa", 0.6),
+    ("it is GNU General Public License version 3 code", "gpl-3", None),
+    # the key phrase alone doesn't tell these apart
+    ("Mozilla Public License Version 1.1", "", 0.0),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", "", 0.0),
+]
+
+
+def test_licences_of_real_notices(spark):
+    found = {r.doc_id: r for r in licences.digest(docs_of(spark, [(i, t, "s") for i, (t, _, _) in enumerate(REAL)])).collect()}
+    for i, (text, labels, score) in enumerate(REAL):
+        assert found[i].labels == labels, text
+        assert 0 < found[i].score < 1 if score is None else found[i].score == score, text
+
+
 # 10 sharding
 
 
