@@ -5,7 +5,9 @@ frac(n / phi); the point falls into one source's stretch of the cumulative weigh
 the slot's rank among its source's slots says which block of the source it takes. A
 source's blocks cut its shuffled documents, laid end to end and repeated up to three
 times, into equal runs of words. Golden-ratio points fill every stretch evenly, so each
-source gets its share of slots to within a few, at every length of the mix.
+source gets its share of slots to within a few, at every length of the mix. A source whose
+target is under ``EXACT`` blocks of more than a word takes that many words exactly instead:
+few slots would miss a small target by much, or leave it none.
 
 Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating, and share the
 total size; a target stops at three times its source's size and the excess goes to the
@@ -38,6 +40,8 @@ EPOCHS = 3
 #: Block length: the total over 2**20, within these bounds. Slots so number about a
 #: million, or, for totals over 4e9 words, one for each 4096 words.
 LEAST_BLOCK, MOST_BLOCK, SLOT_BITS = 1, 4096, 20
+#: Targets under so many blocks are met to the word; the others, by slots, to a few blocks.
+EXACT = 1024
 #: Stretches of slots ranked together; cells of the cumulative weights.
 SLOTS_A_RUN, CELLS = 4096, 4096
 
@@ -133,18 +137,21 @@ def mix(docs: DataFrame, seed: int = 20_240_301, id_col: str = "doc_id", text_co
     facts = targets.select(F.col("source").alias("s"), "number", "source_size", "target")
     placed = placed.join(facts, F.col("source").eqNullSafe(F.col("s"))).drop("s", "h")
     placed = materialise(placed, "mix-places")
-    words = placed.where("size > 0").select("number", "begin", "size", "source_size", "target", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))).alias("epoch")).withColumn("from", F.col("begin") + F.col("epoch") * F.col("source_size"))
+    small = F.col("target") < F.lit(float(EXACT * block)) if block > 1 else F.lit(False)
+    words = placed.where((F.col("size") > 0) & ~small).select("number", "begin", "size", "source_size", "target", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))).alias("epoch")).withColumn("from", F.col("begin") + F.col("epoch") * F.col("source_size"))
     # beyond the target and the schedule's few slots of unevenness no slot reaches
     words = words.where(F.col("from") < F.col("target") + F.lit(64.0 * block))
     parts = words.select("number", "begin", "from", (F.col("from") + F.col("size")).alias("to"), F.explode(F.expr(f"sequence(from div {block}L, (from + size - 1) div {block}L)")).alias("rank"))
     taken = (
-        parts.join(slot_schedule(targets, -(-int(total) // block)).select("number", "rank"), ["number", "rank"])
+        parts.join(slot_schedule(targets.where(~small), -(-int(total) // block)).select("number", "rank"), ["number", "rank"])
         .groupBy("number", "begin")
         .agg(F.sum(F.least("to", (F.col("rank") + 1) * block) - F.greatest("from", F.col("rank") * block)).alias("taken"))
     )
-    empty = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    full = placed.where("size > 0").join(taken, ["number", "begin"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-    return full.unionByName(empty).select(F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "source_size", "target", "taken")
+    reach = F.floor(F.col("target") + 0.5)
+    turn = lambda e: F.least(F.col("size"), F.greatest(F.lit(0), reach - e * F.col("source_size") - F.col("begin")))
+    exact = placed.where((F.col("size") == 0) | small).withColumn("taken", sum((turn(e) for e in range(1, EPOCHS)), turn(0)).cast("long"))
+    full = placed.where((F.col("size") > 0) & ~small).join(taken, ["number", "begin"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    return full.unionByName(exact).select(F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "source_size", "target", "taken")
 
 
 def digest(docs: DataFrame) -> DataFrame:

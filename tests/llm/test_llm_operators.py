@@ -169,6 +169,26 @@ def test_mix_of_odd_tables(spark, odd, none):
     assert rows.columns == odd.columns and rows.where("row <> 'x' or text_key <> 'x'").count() == 0
 
 
+def test_mix_of_tiny_sources_in_long_blocks(spark, monkeypatch):
+    rng = random.Random(33)
+    monkeypatch.setattr(mixing, "block_length", lambda total: 4096)
+    tiny = {f"s{k:03}": rng.randint(50, 1300) for k in range(40)}
+    rows = [(i, "w " * 40_000, "huge") for i in range(300)] + [(1000 + 10 * k + j, "w " * (n // 5 + (j < n % 5)), s) for k, (s, n) in enumerate(tiny.items()) for j in range(5)]
+    docs = docs_of(spark, rows)
+    found = mixing.digest(docs).collect()
+    taken, targets = Counter(), {}
+    source = {i: s for i, _, s in rows}
+    for r in found:
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[source[r.doc_id]] += r.taken
+        targets[source[r.doc_id]] = r.target
+    assert len(found) == len(rows)
+    assert all(targets[s] == taken[s] == 3 * n for s, n in tiny.items())
+    assert abs(taken["huge"] - targets["huge"]) <= 5 * 4096
+    copies = Counter(r.doc_id for r in mixing.mixed_rows(docs).where("source <> 'huge'").select("doc_id").collect())
+    assert copies == {i: 3 for i, _, s in rows if s != "huge"}
+
+
 def test_schedule_is_even_and_ranks_have_no_gaps(spark):
     sizes = docs_of(spark, [(i, "w " * (100 + i), s) for i, s in enumerate("abcd")])
     targets = mixing.source_targets(mixing.sized(sizes, "doc_id", "text", "source", 1))
