@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import text as X
 from quarry.operators.prefix import bucket_count, running_in_order, running_offset
@@ -70,6 +71,93 @@ def near_copies(left: DataFrame, right: DataFrame, percent: int = 80) -> DataFra
     return met.where(close).select("left_id", "right_id", X.jaccard(F.col("lw"), F.col("rw")).alias("like")).distinct()
 
 
+def rare_prefixes(hashed: DataFrame, percent: int) -> DataFrame:
+    """(id, n, at, x): of each set (id, x) of word hashes the rarest |x| - ceil(|x| * p) + 1, in order.
+
+    How often words stand is counted in 2**20 places, so the counts are of fixed size; words
+    of one place are ordered by hash, which keeps the order the same for all sets.
+    """
+    bits = np.uint64(64 - 20)
+
+    def place(x: np.ndarray) -> np.ndarray:
+        return (x.view(np.uint64) >> bits).astype(np.int64)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 20, np.int64)
+        for batch in batches:
+            total += np.bincount(place(batch.column(0).flatten().to_numpy()), minlength=1 << 20)
+        at = total.nonzero()[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
+
+    counts = hashed.select("x").mapInArrow(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(1 << 20, np.int64)
+    times[counts["place"].to_numpy()] = counts["n"].to_numpy()
+    shared = hashed.sparkSession.sparkContext.broadcast(times)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = shared.value
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy()
+            x = batch.column(1).flatten().to_numpy()
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((x, times[place(x)], owner))
+            at = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            n = sizes[owner].astype(np.int64)
+            kept = at < n - (n * percent + 99) // 100 + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[kept])), pa.array(n[kept]), pa.array(at[kept]), pa.array(x[order][kept])], names=["id", "n", "at", "x"])
+
+    return hashed.mapInArrow(cut, T.StructType([T.StructField("id", hashed.schema["id"].dataType), *[T.StructField(c, T.LongType()) for c in ("n", "at", "x")]]))
+
+
+def parity_bits(hashed: DataFrame) -> DataFrame:
+    """(id, bits): which of 1024 places hold an odd number of a set's word hashes, as 16 longs.
+
+    A word that only one of two sets has flips one place, so sets differ in at least as many
+    words as places.
+    """
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), 1000):
+                batch = whole.slice(start, 1000)
+                x = batch.column(1).flatten().to_numpy()
+                owner = np.repeat(np.arange(len(batch)), batch.column(1).value_lengths().to_numpy())
+                odd = np.bincount(owner * 1024 + (x & 1023), minlength=len(batch) * 1024) & 1
+                longs = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(longs) + 1, 16, dtype=np.int32)), pa.array(longs))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "bits"])
+
+    return hashed.mapInArrow(drawn, T.StructType([T.StructField("id", hashed.schema["id"].dataType), T.StructField("bits", T.ArrayType(T.LongType()))]))
+
+
+def similar_sets(rows: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, like_id, jaccard): rows (doc_id, w) whose sets have a Jaccard of percent/100 or more.
+
+    Equal sets fold into the least doc_id that has them, which is paired with each of the
+    others at 1.0; different sets are paired once, by those least ids, the smaller one first.
+    The pairs of all other members follow from these, so a group of copies costs its size and
+    not its square. Exact by prefix filtering: in one order of all words, rare ones first, sets
+    that alike share a word among their first |w| - ceil(|w| * p) + 1, with enough words behind
+    it. Words travel as hashes, which at worst propose a pair too many. A null set has no pairs.
+    """
+    keyed = materialise(rows.where("w is not null").select("doc_id", F.array_sort("w").alias("w")).withColumn("k", F.sha2(F.array_join("w", " "), 256)), "similar-rows")
+    sets = materialise(keyed.groupBy("k").agg(F.min("doc_id").alias("id"), F.first("w").alias("w")), "similar-sets")
+    members = keyed.select("k", "doc_id").join(sets.select("k", "id"), "k").where("doc_id <> id").select(F.col("id").alias("doc_id"), F.col("doc_id").alias("like_id"), F.lit(1.0).alias("jaccard")).distinct()
+    hashed = sets.select("id", F.transform("w", lambda x: F.xxhash64(x)).alias("x"))
+    prefixes = materialise(rare_prefixes(hashed, percent), "similar-prefixes")
+    a, b = (prefixes.select("x", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "at")]) for side in "ab")
+    alike = lambda both: (100 + percent) * both >= percent * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, "x").where((F.col("id_a") < F.col("id_b")) & alike(F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))))
+    # parity bits bound what two sets share before any words travel to a pair
+    bits = materialise(parity_bits(hashed), "similar-bits")
+    of = lambda df, c, side: df.select(F.col("id").alias(f"id_{side}"), F.col(c).alias(f"{c}_{side}"))
+    drawn = met.select("id_a", "id_b", "n_a", "n_b").distinct().join(of(bits, "bits", "a"), "id_a").join(of(bits, "bits", "b"), "id_b")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, k: t + k)
+    pairs = materialise(drawn.where(alike((F.col("n_a") + F.col("n_b") - apart) / 2)).select("id_a", "id_b", "n_a", "n_b"), "similar-pairs")
+    judged = pairs.join(of(sets, "w", "a"), "id_a").join(of(sets, "w", "b"), "id_b").withColumn("both", F.size(F.array_intersect("w_a", "w_b"))).where(alike(F.col("both")))
+    return judged.select(F.col("id_a").alias("doc_id"), F.col("id_b").alias("like_id"), (F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("jaccard")).unionByName(members)
+
+
 def stratified_split(rows: DataFrame, stratum: str, id_col: str, share: float = 0.1, seed: int = 42) -> DataFrame:
     """(id, stratum, part): of each stratum max(1, round(n * share)) rows are 'val', by hash order.
 

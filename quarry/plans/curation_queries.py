@@ -42,12 +42,21 @@ def contamination(spark, sf_dir):
 
 @query("jaccard_pairs", f"WITH s AS (SELECT doc_id, {SET.format('text')} AS w FROM documents) SELECT a.doc_id, round(CASE WHEN len(a.w) = 0 AND len(b.w) = 0 THEN 1.0 ELSE CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) END, 6) AS jaccard FROM s a JOIN s b ON b.doc_id = a.doc_id + 1")
 def jaccard_pairs(spark, sf_dir):
-    """Each document's word set against the next one's."""
+    """Each document's word set against the next one's; ``similar_documents`` compares all."""
     s = table(spark, sf_dir, "documents").select("doc_id", X.token_set(F.col("text")).alias("w"))
     after = s.select((F.col("doc_id") - 1).alias("doc_id"), F.col("w").alias("w2"))
     return s.join(after, "doc_id").select("doc_id", F.round(X.jaccard(F.col("w"), F.col("w2")), 6).alias("jaccard"))
 
 
+@query("similar_documents", f"""WITH d AS (SELECT doc_id, list_sort({SET.format('text')}) AS w FROM documents WHERE text IS NOT NULL), s AS (SELECT w, min(doc_id) AS id FROM d GROUP BY w), x AS (SELECT id, len(w) AS n, unnest(w) AS t FROM s),
+o AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS shared FROM x a JOIN x b ON a.t = b.t AND a.id < b.id GROUP BY ALL)
+SELECT a AS doc_id, b AS like_id, round(CAST(shared AS DOUBLE) / (na + nb - shared), 6) AS jaccard FROM o WHERE 100 * shared >= 80 * (na + nb - shared) UNION ALL SELECT DISTINCT s.id, d.doc_id, 1.0 FROM d JOIN s USING (w) WHERE d.doc_id <> s.id""")
+def similar_documents(spark, sf_dir):
+    """All documents whose word sets are alike by 0.8 or more, wherever their ids stand."""
+    sets = table(spark, sf_dir, "documents").select("doc_id", X.token_set(F.col("text")).alias("w"))
+    return C.similar_sets(sets).select("doc_id", "like_id", F.round("jaccard", 6).alias("jaccard"))
+
+
 @query("near_copy", f"""WITH d AS (SELECT DISTINCT doc_id, s AS sentence FROM (SELECT doc_id, unnest(string_split(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '([.!?]) ', '\\1' || chr(1), 'g'), chr(1))) AS s FROM documents)),
 b AS (SELECT DISTINCT item_id, s AS sentence FROM (SELECT item_id, unnest(string_split(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '([.!?]) ', '\\1' || chr(1), 'g'), chr(1))) AS s FROM benchmark)),
 ds AS (SELECT doc_id, sentence, {SET.format('sentence')} AS w FROM d), bs AS (SELECT item_id, sentence, {SET.format('sentence')} AS w FROM b)

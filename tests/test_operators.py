@@ -121,6 +121,24 @@ def test_greedy_curation_by_brute_force(spark):
     assert {(r.g, r.id) for r in found.collect()} == expected
 
 
+def test_similar_sets_by_brute_force(spark):
+    rng = random.Random(46)
+    rows = {i: sorted(rng.sample("abcdefghijklmnop", rng.randint(0, 12))) for i in range(0, 600, 3)}
+    rows |= {5000 + 7 * i: list(w) for i, w in list(rows.items())[:20]} | {9000: list("abcde"), 9500: list("abcd"), 9900: [], 9990: []}
+    found = C.similar_sets(spark.createDataFrame([*rows.items(), (9999, None)], "doc_id int, w array<string>")).collect()
+    least = {}
+    for i, w in sorted(rows.items()):
+        least.setdefault(frozenset(w), i)
+    expected = {(least[frozenset(w)], i): 1.0 for i, w in rows.items() if least[frozenset(w)] != i}
+    for a, i in least.items():
+        for b, j in least.items():
+            if i < j and 100 * len(a & b) >= 80 * len(a | b):
+                expected[i, j] = len(a & b) / len(a | b)
+    assert len(found) == len(expected) and {(r.doc_id, r.like_id): r.jaccard for r in found} == expected
+    assert 0.8 in expected.values()
+    assert sum(j - i > 1 for i, j in expected) == len(expected)  # none of them adjacent
+
+
 def test_near_copies_by_brute_force(spark):
     rng = random.Random(7)
     sets = lambda n: [(i, sorted(rng.sample("abcdefghij", rng.randint(0, 9)))) for i in range(n)]
