@@ -137,3 +137,18 @@ def substring_pairs(texts: DataFrame, quotes: DataFrame) -> DataFrame:
     short = q.where(F.size("_w") < 5).select("quote_id", "quote")
     rest = texts.join(short, F.contains("text", "quote")).select("text_id", "quote_id")
     return blocked.distinct().unionByName(rest.distinct())
+
+
+def overlapping_pairs(texts: DataFrame, quotes: DataFrame, floor: int = 12) -> DataFrame:
+    """(text_id, quote_id) of texts and quotes that are equal, or one of which holds the other.
+
+    A held side has at least ``floor`` characters; equal ones count at any length but none.
+    """
+    inside = substring_pairs(texts, quotes.where(F.length("quote") >= floor))
+    turned = lambda df, a, b: df.select(F.col(f"{a}_id").alias(f"{b}_id"), F.col(a).alias(b))
+    longest = quotes.agg(F.max(F.length("quote")).alias("_longest"))
+    held = texts.where(F.length("text") >= floor).join(F.broadcast(longest), F.length("text") <= F.col("_longest"))
+    around = substring_pairs(turned(quotes, "quote", "text"), turned(held, "text", "quote"))
+    around = around.select(F.col("quote_id").alias("text_id"), F.col("text_id").alias("quote_id"))
+    short = texts.where(F.length("text").between(1, floor - 1)).join(quotes, F.col("text") == F.col("quote")).select("text_id", "quote_id")
+    return inside.unionByName(around).unionByName(short).distinct()

@@ -8,19 +8,32 @@ from quarry.functions import text as X
 from quarry.operators import evaluation as V
 from quarry.operators import evidence as E
 from quarry.plans import bindings as B
-from quarry.plans.evidence_queries import CHECK, _evidence, _pairs
+from quarry.plans.evidence_queries import CHECK, _evidence
 from quarry.plans.registry import query
 from quarry.session import table
 
 
+def _overlaps(spark, sf_dir):
+    d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    pairs = E.overlapping_pairs(d.select(F.col("doc_id").alias("text_id"), "text"), b.select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote")))
+    return pairs.select(F.col("text_id").alias("doc_id"), F.col("quote_id").alias("item_id"))
+
+
 @query("quote_overlap_recall", "WITH hits AS (SELECT DISTINCT lang, item_id FROM documents d JOIN benchmark b ON length(b.text) >= 12 AND contains(d.text, b.text)), langs AS (SELECT DISTINCT lang FROM documents) SELECT l.lang, count(*) AS n, count(h.item_id) AS recalled, round(CAST(count(h.item_id) AS DOUBLE) / count(*), 6) AS recall FROM langs l CROSS JOIN benchmark b LEFT JOIN hits h ON h.lang = l.lang AND h.item_id = b.item_id GROUP BY l.lang")
 def quote_overlap_recall(spark, sf_dir):
-    """Benchmark items that the documents of a language hold; keys are (language, item)."""
+    """Benchmark items that a document of a language overlaps; keys are (language, item)."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    hits = _pairs(spark, sf_dir).join(d.select("doc_id", "lang"), "doc_id").select("lang", "item_id")
+    hits = _overlaps(spark, sf_dir).join(d.select("doc_id", "lang"), "doc_id").select("lang", "item_id")
     langs = d.groupBy().agg(F.collect_set("lang").alias("l")).select(F.explode("l").alias("lang"))
-    reference = b.where(F.length("text") >= 12).select("item_id").crossJoin(langs)
-    return V.recall(reference, hits, ["lang", "item_id"], ["lang"])
+    return V.recall(b.select("item_id").crossJoin(langs), hits, ["lang", "item_id"], ["lang"])
+
+
+@query("quote_overlap_matched", "WITH m AS (SELECT DISTINCT doc_id FROM documents d JOIN benchmark b ON (d.text = b.text AND length(b.text) > 0) OR (length(b.text) >= 12 AND contains(d.text, b.text)) OR (length(d.text) >= 12 AND contains(b.text, d.text))) SELECT d.lang, count(*) AS n, count(m.doc_id) AS matched, round(CAST(count(m.doc_id) AS DOUBLE) / count(*), 6) AS gold_match_rate FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.lang")
+def quote_overlap_matched(spark, sf_dir):
+    """Documents of a language that overlap a benchmark item, whichever one."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    found = V.recall(d, _overlaps(spark, sf_dir), ["doc_id"], ["lang"])
+    return found.select("lang", "n", F.col("recalled").alias("matched"), F.col("recall").alias("gold_match_rate"))
 
 
 @query("bait_rejection", CHECK + ", per AS (SELECT source_id, avg(CASE WHEN reasons LIKE '%not verbatim%' THEN 1.0 ELSE 0.0 END) AS r FROM checked WHERE n_evidence > 0 GROUP BY source_id) SELECT count(*) AS sources, round(avg(r), 6) AS bait_rejection FROM per")

@@ -121,6 +121,26 @@ def test_greedy_curation_by_brute_force(spark):
     assert {(r.g, r.id) for r in found.collect()} == expected
 
 
+def test_quote_overlap_both_ways(spark, tmp_path):
+    from quarry.plans.registry import QUERIES
+
+    items = {1: "one two three four five six seven", 2: "short item", 3: "the eleventh hour has come again", 4: "alpha beta gamma", 5: "tiny", 6: ""}
+    docs = {1: "before one two three four five six seven after", 2: "short item", 3: "eleventh hour", 4: "beta gamma", 5: "a tiny short item", 6: "", 7: "two three four five six seven", 8: "alpha beta gamma", 9: None}
+    spark.createDataFrame([(i, t, "de" if i == 3 else "en") for i, t in docs.items()], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([*items.items()], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def overlap(a, b):
+        short, long = sorted((a or "", b), key=len)
+        return bool(a and b) and (a == b or len(short) >= 12 and short in long)
+
+    met = {(d, i) for d, t in docs.items() for i, u in items.items() if overlap(t, u)}
+    assert {(3, 3), (2, 2), (7, 1)} < met and not {(4, 4), (5, 2), (5, 5)} & met
+    found = {r.lang: (r.n, r.recalled) for r in QUERIES["quote_overlap_recall"](spark, str(tmp_path)).collect()}
+    assert found == {"en": (6, len({i for d, i in met if d != 3})), "de": (6, 1)}
+    matched = {r.lang: (r.n, r.matched) for r in QUERIES["quote_overlap_matched"](spark, str(tmp_path)).collect()}
+    assert matched == {"en": (8, len({d for d, _ in met if d != 3})), "de": (1, 1)}
+
+
 def test_similar_sets_by_brute_force(spark):
     rng = random.Random(46)
     rows = {i: sorted(rng.sample("abcdefghijklmnop", rng.randint(0, 12))) for i in range(0, 600, 3)}
