@@ -1,22 +1,27 @@
-"""Near-duplicates by HyperMinHash sketches, banding and exact verification.
+"""Near-duplicates by HyperMinHash sketches, banding, estimates and exact verification.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Its sketch deals the set
 into ``REGISTERS`` equal stretches of the hash range; of each stretch the smallest hash is
 kept as a compressed register: the count of leading zeros of its place within the stretch
-(6 bits) and the ``MANTISSA`` bits that follow. Bands of ``ROWS`` registers are the keys
-under which similar sets meet; for them, empty registers borrow from used ones.
+(6 bits) and the ``MANTISSA`` bits that follow. Registers are stored, 500 bytes a document.
+Bands of ``ROWS`` registers are the keys under which similar sets meet; for them, empty
+registers borrow from used ones.
 
 Documents with the same set are one class (its copies are members, never pairs). Classes
 that share a band meet at the band's hub: its most central class, the one whose bands are
 the most populated; an original among its edited copies, as a rule. The classes around a
-hub form a group, dealt into blocks of ``BLOCK`` with the hub in each. In a block a pair's
-Jaccard estimate is matching registers over used ones, less the expected chance matches of
-compressed registers; pairs that the estimate can't rule out (``Z`` standard errors of
-sampling without replacement under the threshold) are verified on the full sets, unless
-they are in one component already: a union-find runs along, so a group costs about as many
-verifications as it has members, and a block emits one link for each member it ties in.
-Groups of several blocks get a second pass for the classes that did not join their hub's
-component: each of these meets every block. No pair that shares a band goes uncompared.
+hub form a group, dealt into blocks of about ``BLOCK`` classes and ``BLOCK_SHINGLES``
+shingles with the hub in each.
+
+Blocks first see registers alone. A pair's Jaccard estimate is matching registers over used
+ones, less the expected chance matches of compressed registers; it leaves a pair open
+unless it is ``Z`` standard errors of sampling without replacement under the threshold.
+Only classes with an open pair have their texts fetched. Blocks of those verify open pairs
+on the full sets, unless they are in one component already: roots run along, so a group
+costs about as many verifications as it has members, and a block emits one link for each
+member it ties in. Groups of several blocks get a second pass, registers first again, for
+the classes that did not join their hub's component: each of these meets every block. No
+pair that shares a band goes uncompared.
 
 Sets of similarity 0.8 share one of 50 bands of 5 with a probability over 1 - 1e-8.
 
@@ -34,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +52,10 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Leading zeros take 6 bits; 63 with all mantissa bits set says that a stretch is empty.
 EMPTY = np.uint16(0xFFFF)
-BLOCK = 1024
+#: Classes and shingles that meet in a block, about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: A hub's rows are spread over so many keys where they look up its number of blocks.
+SALTS = 32
 #: Words of the bitmap that says which texts are wanted: 2**19 rows of 16 bytes at most.
 FILTER_WORDS = 1 << 19
 #: Standard errors that an estimate may fall short of the threshold.
@@ -60,7 +68,7 @@ class Sketcher:
     """Sets, registers and band keys of texts."""
 
     def __init__(self, width: int):
-        self.width, self.hashes = width, Hashes()
+        self.width, self.hashes = width, Hashes(200_000)
 
     def set_of(self, text: bytes | None) -> np.ndarray:
         """Distinct shingles, sorted."""
@@ -120,23 +128,21 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_key, n_shingles, print, bands): a map over all rows."""
+    """(id, text_key, n_shingles, print, registers): a map over all rows."""
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(width)
         for batch in batches:
-            sizes, prints, bands = [], [], []
+            sizes, prints, sketches = [], [], []
             for text in batch.column(2):
                 own = sketcher.set_of(text.as_py())
                 sizes.append(len(own))
                 prints.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
-                bands.append(band_keys(registers(own)) if len(own) else np.empty(0, np.int64))
-            offsets = pa.array(np.cumsum([0, *map(len, bands)]), pa.int32())
-            flat = pa.array(np.concatenate([np.empty(0, np.int64), *bands]), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=["id", "text_key", "n_shingles", "print", "bands"])
+                sketches.append(registers(own).tobytes() if len(own) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sketches, pa.binary())], names=["id", "text_key", "n_shingles", "print", "registers"])
 
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", id_type), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()), T.StructField("registers", T.BinaryType())])
     return docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -172,91 +178,128 @@ def estimates(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndar
     return estimate, sizes & (estimate >= threshold - Z * error - 0.01)
 
 
+def open_pairs(sketches: np.ndarray, sizes: np.ndarray, is_open: np.ndarray, roots: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, later members it may be linked to, the likeliest first), every pair once: a
+    pair has an open member, different roots (as they are when its turn comes) and an
+    estimate that can't rule a link out."""
+    for i in range(len(sizes)):
+        later = np.arange(i + 1, len(sizes))
+        later = later if is_open[i] else later[is_open[i + 1 :]]
+        later = later[roots[later] != roots[i]]
+        if len(later):
+            estimate, possible = estimates(sketches[i], sketches[later], int(sizes[i]), sizes[later], percent)
+            if possible.any():
+                yield i, later[possible][np.argsort(-estimate[possible], kind="stable")]
+
+
 def linked(members: list[tuple[int, int, bool, np.ndarray]], percent: int) -> list[tuple[int, int]]:
     """Links that tie a block together, from (id, root so far, open, set); pairs with an open
     member are compared. The first member is the hub."""
-    parent = list(range(len(members)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    first: dict[int, int] = {}
-    for i, (_, root, _, _) in enumerate(members):
-        parent[i] = find(first.setdefault(root, i))
+    roots = np.unique([m[1] for m in members], return_inverse=True)[1]
     sketches = np.stack([registers(m[3]) for m in members])
-    sizes = np.array([len(m[3]) for m in members])
-    is_open = np.array([m[2] for m in members])
     out = []
-    for i in range(len(members)):
-        # every open pair once: from the member that comes first
-        later = np.arange(i + 1, len(members))
-        later = later if is_open[i] else later[is_open[i + 1 :]]
-        later = later[[find(j) != find(i) for j in later]] if len(later) else later
-        if not len(later):
-            continue
-        estimate, possible = estimates(sketches[i], sketches[later], int(sizes[i]), sizes[later], percent)
-        for j in later[possible][np.argsort(-estimate[possible], kind="stable")]:
-            if find(i) != find(j) and jaccard_reaches(members[i][3], members[j][3], percent):
+    for i, others in open_pairs(sketches, np.array([len(m[3]) for m in members]), np.array([m[2] for m in members]), roots, percent):
+        for j in others:
+            if roots[i] != roots[j] and jaccard_reaches(members[i][3], members[j][3], percent):
                 out.append((members[i][0], members[j][0]))
-                parent[find(j)] = find(i)
+                roots[roots == roots[j]] = roots[i]
     return out
 
 
-def block_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) from rows (hub, part, block, cid, root, open, lead, text), a task a block at a time."""
+KEYS = ["hub", "part", "block", "cid", "root", "open", "lead"]
+KEY_TYPES = "hub long, part int, block int, cid long, root long, open boolean, lead boolean"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The members of one block after another: (cid, root, open, lead, *rest), the hub first; a
+    class that comes more than once is one member."""
+    current, held = None, {}
+    for batch in batches:
+        keys = zip(*(batch.column(i).to_pylist() for i in range(len(KEYS))))
+        for (hub, part, block, cid, root, is_open, lead), *rest in zip(keys, *batch.columns[len(KEYS) :]):
+            if (hub, part, block) != current:
+                if len(held) > 1:
+                    yield [(*current, *m) for m in sorted(held.values(), key=lambda m: (not m[3], m[0]))]
+                current, held = (hub, part, block), {}
+            old = held.get(cid)
+            held[cid] = (cid, root, is_open or (old is not None and old[2]), lead or (old is not None and old[3]), *(x.as_py() for x in rest))
+    if len(held) > 1:
+        yield [(*current, *m) for m in sorted(held.values(), key=lambda m: (not m[3], m[0]))]
+
+
+def _dealt(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(*KEYS, *more).repartition("hub", "part", "block").sortWithinPartitions("hub", "part", "block")
+
+
+def undecided(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (``KEYS``) of members with a pair that registers leave open, from rows with
+    n_shingles and registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher(width)
-        current, held, found = None, {}, []
+        for members in _blocks(batches):
+            roots = np.unique([m[4] for m in members], return_inverse=True)[1]
+            sketches = np.stack([np.frombuffer(m[8], np.uint16) for m in members])
+            stay = np.zeros(len(members), bool)
+            for i, others in open_pairs(sketches, np.array([m[7] for m in members]), np.array([m[5] for m in members]), roots, percent):
+                stay[i] = True
+                stay[others] = True
+            if stay.any():
+                kept = [m[:7] for m, s in zip(members, stay) if s]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*kept), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))], names=KEYS)
 
-        def close() -> None:
-            if len(held) > 1:
-                ordered = sorted(held.values(), key=lambda m: (not m[4], m[0]))
-                found.extend(linked([m[:4] for m in ordered], percent))
+    return _dealt(rows, "n_shingles", "registers").mapInArrow(run, KEY_TYPES)
 
-        for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(7))))
-            for (hub, part, block, cid, root, is_open, lead), text in zip(keys, batch.column(7)):
-                if (hub, part, block) != current:
-                    close()
-                    current, held = (hub, part, block), {}
-                old = held.get(cid)
-                if old is None:
-                    held[cid] = (cid, root, is_open, sketcher.set_of(text.as_py()), lead)
-                else:
-                    held[cid] = (cid, root, is_open or old[2], old[3], lead or old[4])
+
+def block_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) from rows (``KEYS``, text), a task a block at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(width)
+        for members in _blocks(batches):
+            found = linked([(m[3], m[4], m[5], sketcher.set_of(m[7])) for m in members], percent)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
-                found = []
-        close()
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
-    dealt = rows.select("hub", "part", "block", "cid", "root", "open", "lead", "text").repartition("hub", "part", "block").sortWithinPartitions("hub", "part", "block")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _dealt(rows, "text").mapInArrow(run, "a long, b long")
 
 
 def classes_of(sketches: DataFrame) -> DataFrame:
-    """(cid, print, label, rep_id, rep_key, bands): a row for each different set."""
+    """(cid, print, label, rep_id, rep_key, n_shingles, registers): a row for each different set."""
     named = sketches.where("print is not null").groupBy("print").agg(
         F.min("id").alias("label"),
         F.min(F.struct(F.col("id").isNull().alias("n"), "id", "text_key")).alias("rep"),
-        F.first("bands").alias("bands"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("registers").alias("registers"),
     )
-    return named.select(F.monotonically_increasing_id().alias("cid"), "print", "label", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"), "bands")
+    return named.select(F.monotonically_increasing_id().alias("cid"), "print", "label", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"), "n_shingles", "registers")
+
+
+def band_rows(classes: DataFrame) -> DataFrame:
+    """(cid, band): a row for each band of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                bands = np.concatenate([band_keys(np.frombuffer(r.as_py(), np.uint16)) for r in part.column(1)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS), pa.int64()), pa.array(bands, pa.int64())], names=["cid", "band"])
+
+    return classes.select("cid", "registers").mapInArrow(run, "cid long, band long")
 
 
 def hub_groups(classes: DataFrame) -> DataFrame:
-    """(hub, cid): which classes meet at which hub; hubs are members of their groups."""
-    keyed = classes.select("cid", F.explode("bands").alias("band"))
-    counts = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """(hub, cid): which classes meet at which hub; hubs are members of their groups.
+
+    Band rows are shuffled once: the count and the members of a band come from the same
+    exchange. Of a hot band only pairs of numbers meet in a task.
+    """
+    keyed = band_rows(classes).repartition("band")
+    # both columns are used on both sides, else one would be pruned and the exchange made twice
+    counts = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("band", "n")
     shared = materialise(keyed.join(counts, "band"), "neardup-bands")
     weights = shared.groupBy("cid").agg(F.sum("n").alias("weight"))
     hubs = shared.join(weights, "cid").groupBy("band").agg(F.max(F.struct("weight", (-F.col("cid")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("hub"))
-    return materialise(shared.join(hubs, "band").select("hub", "cid").distinct(), "neardup-groups")
+    return shared.join(hubs, "band").select("hub", "cid").distinct()
 
 
 def texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -276,44 +319,61 @@ def texts_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> Da
     return reps.join(once, F.col("rep_id").eqNullSafe(F.col("t_id")) & (F.col("rep_key") == F.col("t_key"))).select("cid", "text")
 
 
+def _with_parts(rows: DataFrame, parts: DataFrame, name: str, other: int | None = 1) -> DataFrame:
+    """Rows with their hub's number from ``parts`` (hub, ``name``), ``other`` for hubs not there; a
+    hub's rows are spread over ``SALTS`` keys."""
+    salted = parts.select(F.col("hub").alias("_hub"), name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_of"))
+    salt = F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(SALTS).cast("long")).cast("int")
+    found = rows.withColumn("_salt", salt).join(salted, (F.col("hub") == F.col("_hub")) & (F.col("_salt") == F.col("_of")), "left")
+    return found.withColumn(name, F.coalesce(name, F.lit(other))).drop("_hub", "_of", "_salt")
+
+
+def _hashed(parts: str, seed: int) -> Column:
+    return F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(parts).cast("long")).cast("int")
+
+
 def components_of(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(sketch rows without bands, classes with their component's root)."""
+    """(sketch rows without registers, classes with their component's root and whether any link ties them)."""
     sketches = materialise(sketched(docs, width, id_col, text_col), "neardup-sketches")
     classes = materialise(classes_of(sketches), "neardup-classes")
-    groups = hub_groups(classes)
-    sizes = groups.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own_block = F.pmod(F.xxhash64("cid"), F.col("blocks").cast("long")).cast("int")
-    blocked = groups.join(sizes, "hub").withColumn("home", own_block)
-    reps = classes.select("cid", "rep_id", "rep_key")
-    texts = materialise(texts_of(docs, reps.join(groups.select("cid").distinct(), "cid"), id_col, text_col), "neardup-texts")
-
-    def with_text(rows: DataFrame) -> DataFrame:
-        return rows.join(texts, "cid")
+    members = hub_groups(classes).join(classes.select("cid", "n_shingles"), "cid")
+    members = materialise(members, "neardup-groups")
+    shingles_of = F.sum("n_shingles")
+    many = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(shingles_of / BLOCK_SHINGLES)).cast("int")
+    large = members.groupBy("hub").agg(many.alias("blocks")).where("blocks > 1")
+    blocked = _with_parts(members, large, "blocks").withColumn("home", _hashed("blocks", 0))
+
+    def compared(rows: DataFrame, label: str) -> DataFrame:
+        sketch = classes.select("cid", "n_shingles", "registers")
+        likely = materialise(undecided(rows.join(sketch, "cid"), percent), f"neardup-open-{label}")
+        reps = classes.select("cid", "rep_id", "rep_key").join(likely.select("cid").distinct(), "cid", "left_semi")
+        return materialise(block_links(likely.join(texts_of(docs, reps, id_col, text_col), "cid"), width, percent), f"neardup-links-{label}")
 
     everywhere = F.when(F.col("cid") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))
-    first = blocked.select("hub", F.lit(0).alias("part"), F.explode(everywhere).alias("block"), "cid", F.col("cid").alias("root"), F.lit(True).alias("open"), (F.col("cid") == F.col("hub")).alias("lead"))
-    links = materialise(block_links(with_text(first), width, percent), "neardup-links")
+    links = compared(blocked.select("hub", F.lit(0).alias("part"), F.explode(everywhere).alias("block"), "cid", F.col("cid").alias("root"), F.lit(True).alias("open"), (F.col("cid") == F.col("hub")).alias("lead")), "1")
     roots = connected_components(links)
-    large = blocked.where("blocks > 1")
-    if large.limit(1).count():
-        known = large.join(roots, large["cid"] == roots["id"], "left").select("hub", "blocks", "home", "cid", F.coalesce("root", "cid").alias("root"))
-        hub_roots = known.where("cid = hub").select(F.col("hub").alias("h"), F.col("root").alias("hub_root"))
-        known = materialise(known.join(hub_roots, F.col("hub") == F.col("h")).drop("h"), "neardup-large")
+    wide = blocked.where("blocks > 1")
+    if wide.limit(1).count():
+        known = wide.join(roots, wide["cid"] == roots["id"], "left").select("hub", "blocks", "home", "cid", F.coalesce("root", "cid").alias("root"))
+        hub_roots = known.where("cid = hub").select("hub", F.col("root").alias("hub_root"))
+        known = materialise(_with_parts(known, hub_roots, "hub_root"), "neardup-large")
         apart = known.where("root <> hub_root")
         parts = apart.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-        visiting = apart.join(parts, "hub").select("hub", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("parts").cast("long")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cid", "root", F.lit(True).alias("open"))
-        staying = known.join(parts, "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("home").alias("block"), "cid", "root", F.lit(False).alias("open"))
-        second = materialise(block_links(with_text(visiting.unionByName(staying).withColumn("lead", F.lit(False))), width, percent), "neardup-links-2")
-        roots = connected_components(links.union(second))
-    rooted = classes.drop("bands").join(roots, F.col("cid") == F.col("id"), "left").drop("id").withColumn("root", F.coalesce("root", "cid"))
-    return sketches.drop("bands"), rooted
+        visiting = _with_parts(apart, parts, "parts").select("hub", _hashed("parts", 1).alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cid", "root", F.lit(True).alias("open"), F.lit(False).alias("lead"))
+        # a hub none of whose classes is apart has no visitors, and its blocks no pairs
+        staying = _with_parts(known, parts, "parts", 0).where("parts > 0").select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("home").alias("block"), "cid", "root", F.lit(False).alias("open"), F.lit(False).alias("lead"))
+        roots = connected_components(links.union(compared(visiting.unionByName(staying), "2")))
+    rooted = classes.drop("registers", "n_shingles").join(roots, F.col("cid") == F.col("id"), "left").withColumn("tied", F.col("id").isNotNull()).drop("id").withColumn("root", F.coalesce("root", "cid"))
+    return sketches.drop("registers"), rooted
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row."""
     rows, classes = components_of(docs, width, percent, id_col, text_col)
-    names = classes.groupBy("root").agg(F.min("label").alias("component"))
-    labelled = classes.join(names, "root").select(F.col("print").alias("p"), "component")
+    # only roots that other classes lead to, spread over salts: a component can have most classes
+    names = classes.where("tied").groupBy(F.col("root").alias("hub")).agg(F.min("label").alias("component"))
+    labelled = _with_parts(classes.withColumn("hub", F.when(F.col("tied"), F.col("root")).otherwise(-1 - F.col("cid"))), names, "component", None)
+    labelled = labelled.select(F.col("print").alias("p"), F.when(F.col("tied"), F.col("component")).otherwise(F.col("label")).alias("component"))
     found = rows.join(labelled, F.col("print") == F.col("p"), "left")
     component = F.when(F.col("print").isNull(), F.col("id")).otherwise(F.col("component"))
     return found.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
