@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm.licences import BASE, LEAST_SHARE, NOTICES
+from quarry.llm.licences import SLACK, TEMPLATES, places_of
 
 
 def _strings(words: tuple[bytes, ...]) -> str:
@@ -10,13 +10,13 @@ def _strings(words: tuple[bytes, ...]) -> str:
 
 
 def _templates() -> str:
-    """The licence templates as SQL rows: number, label, base, words, phrase, the phrase's place."""
-    rows = []
-    for k, t in enumerate([*BASE, *NOTICES]):
-        (phrase,) = t.phrases
-        at = next(i for i in range(len(t.words)) if t.words[i : i + len(phrase)] == phrase)
-        rows.append(f"({k}, '{t.label}', {str(t.base).lower()}, {_strings(t.words)}, {_strings(phrase)}, {at})")
-    return ", ".join(rows)
+    """The licence templates as SQL rows: number, label, base, words, least share, key phrases."""
+    return ", ".join(f"({k}, '{t.label}', {str(t.base).lower()}, {_strings(t.words)}, {t.least}, {len(t.phrases)})" for k, t in enumerate(TEMPLATES))
+
+
+def _phrases() -> str:
+    """Their key phrases as SQL rows: template, number, words, place in the template."""
+    return ", ".join(f"({k}, {j}, {_strings(phrase)}, {at})" for k, t in enumerate(TEMPLATES) for j, (at, phrase) in enumerate(places_of(t)))
 
 
 OP2 = r"""
@@ -97,11 +97,14 @@ FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html
 
 OP9 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-t AS (SELECT * FROM (VALUES {_templates()}) AS x(k, label, base, body, phrase, place)),
-near AS (SELECT r, w, t.* FROM d JOIN t ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(phrase, ' ') || ' ')),
-here AS (SELECT * FROM (SELECT *, unnest(range(1, len(w) - len(phrase) + 2)) AS i FROM near) WHERE w[i : i + len(phrase) - 1] = phrase),
-m AS (SELECT r, label, base, i - 1 AS start, len(list_filter(range(1, len(body) + 1), lambda j: i - place + j - 1 >= 1 AND coalesce(w[i - place + j - 1] = body[j], false))) / CAST(len(body) AS DOUBLE) AS share FROM here),
-g AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m WHERE share >= {LEAST_SHARE} GROUP BY r)
+t AS (SELECT * FROM (VALUES {_templates()}) AS x(k, label, base, body, least, phrases)),
+p AS (SELECT * FROM (VALUES {_phrases()}) AS x(k, j, phrase, place)),
+near AS (SELECT r, w, p.* FROM d JOIN p ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(phrase, ' ') || ' ')),
+here AS (SELECT r, k, j, place, i - 1 - place AS start FROM (SELECT *, unnest(range(1, len(w) - len(phrase) + 2)) AS i FROM near) WHERE w[i : i + len(phrase) - 1] = phrase),
+chains AS (SELECT a.r, a.k, a.place, a.start, b.j, min(abs(b.start - a.start)) AS away, arg_min(b.start, abs(b.start - a.start) * 2 + CASE WHEN b.start > a.start THEN 1 ELSE 0 END) AS nearest FROM here a JOIN here b ON a.r = b.r AND a.k = b.k WHERE a.j = 0 GROUP BY a.r, a.k, a.place, a.start, b.j),
+whole AS (SELECT c.r, c.k, c.place + c.start AS start, list_distinct(list(c.nearest)) AS starts FROM chains c JOIN t ON t.k = c.k WHERE c.away <= {SLACK} GROUP BY c.r, c.k, c.place, c.start, t.phrases HAVING count(*) = t.phrases),
+m AS (SELECT h.r, t.label, t.base, t.least, h.start, len(list_filter(range(1, len(t.body) + 1), lambda i: len(list_filter(h.starts, lambda s: s + i >= 1 AND coalesce(d.w[s + i] = t.body[i], false))) > 0)) / CAST(len(t.body) AS DOUBLE) AS share FROM whole h JOIN t ON t.k = h.k JOIN d ON d.r = h.r),
+g AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m WHERE share >= least GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM d LEFT JOIN g ON g.r = d.r
 """
 

@@ -435,6 +435,30 @@ def test_licences_of_real_notices(spark):
         assert 0 < found[i].score < 1 if score is None else found[i].score == score, text
 
 
+def test_licence_bodies(spark):
+    bodies = [("MIT License\n\nCopyright (c) 2019 Somebody Else\n\n" + licences._MIT, "mit"), (licences._BSD_2 + licences._BSD_END, "bsd"), (licences._BSD_2 + "\n * " + licences._BSD_3 + licences._BSD_END, "bsd,bsd-3"), (licences._ISC, "isc"), (licences._ZLIB.replace("you must", "and you really must"), "zlib"), (licences._APACHE_2, "apache-2"), (licences._UNLICENSE, "unlicense"), (licences._BOOST, "boost")]
+    found = {r.doc_id: r for r in licences.digest(docs_of(spark, [(i, t, "s") for i, (t, _) in enumerate(bodies)])).collect()}
+    for i, (text, labels) in enumerate(bodies):
+        assert found[i].labels == labels and found[i].score >= 0.9, text
+    # one key phrase of several doesn't make a match, nor do two that are far apart
+    apart = licences._ISC.replace("provided that", "provided that " + "word " * 60)
+    assert [r.labels for r in licences.digest(docs_of(spark, [(1, "Altered source versions must be plainly marked", "s"), (2, apart, "s")])).orderBy("doc_id").collect()] == ["", ""]
+
+
+def test_licence_matches_come_from_the_postings():
+    text = [w.encode() for w in "this is under the mit license and cc by nc".split()]
+    index = licences.PositionalIndex(licences.TEMPLATES, 10, {b"license": 9, b"the": 10})
+    assert {licences.TEMPLATES[k].label for k, _, _ in index.matches(text)} == {"mit", "cc-by-nc"}
+    mit = next(f for f, (k, _, _) in enumerate(index.phrases) if licences.TEMPLATES[k].base and licences.TEMPLATES[k].label == "mit")
+    assert (mit, 2) in index.alignments(text) and all(start == 2 for f, start in index.alignments(text) if f == mit)
+    # the second posting must stand at the same relative position
+    assert mit not in {f for f, _ in index.alignments([b"under", b"mit", b"the", b"license"])}
+    for rank in range(licences.ANCHORS):
+        broken = licences.PositionalIndex(licences.TEMPLATES, 10, {})
+        broken.postings[rank], broken.orders[rank] = {}, []
+        assert not [m for m in broken.matches(text) if broken.needed[0] > rank]
+
+
 # 10 sharding
 
 
