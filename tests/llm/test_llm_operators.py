@@ -232,6 +232,23 @@ def test_top_k_of_few(spark):
     assert [tuple(r) for r in topk.nearest_neighbours(spark.createDataFrame([(0, [1.0]), (1, [0.5])], schema)).collect()] == [(0, 1, 1, 256 * 128)]
 
 
+@pytest.mark.parametrize("size", [1e7, 1e9, 1e30, 1e300])
+def test_top_k_of_large_components(spark, size):
+    import math
+
+    rng = random.Random(8)
+    v = {i: [size * rng.gauss(0, 1), rng.gauss(0, 1), size] for i in range(60)} | {60: [0.0, 0.0, 0.0], 61: [1e308, 0.0, 0.0]}
+    # scores that differ by less than a double can tell, and ties
+    v |= {100: [size, 1.0, 3 / 256], 101: [size, 1.0, 2 / 256], 102: [size, 1.0, 3 / 256], 103: [size, 1.0, 4 / 256]}
+    found = topk.nearest_neighbours(spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>")).collect()
+    whole = {i: [math.floor(256 * x) for x in e] for i, e in v.items() if i != 61}
+    expected = set()
+    for a in (0, 50, 100):
+        best = sorted((-sum(x * y for x, y in zip(whole[a], whole[b])), b) for b in whole if b != a)[:5]
+        expected |= {(a, n + 1, b, max(-(2**63), min(2**63 - 1, -s))) for n, (s, b) in enumerate(best)}
+    assert {tuple(r) for r in found} == expected and len(found) == 15
+
+
 # 5 near-duplicates
 
 
