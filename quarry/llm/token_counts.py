@@ -6,7 +6,9 @@ up the merge rank of every adjacent pair, takes each sequence's lowest rank and
 that pair wherever it stands in the sequence, in all sequences at once; sequences with no
 pair left leave the array with their count of surviving symbols. Applying all places of
 the lowest pair together equals merging one by one: a merge's product only takes part in
-pairs of later rank.
+pairs of later rank. A sequence of more than ``LONG`` bytes has many rounds of few merges,
+so it goes by itself: places wait by rank, and a round looks anew only at the pairs beside
+its merges.
 
 Executors get the merge table (at most vocabulary size, here under 2 MB) by broadcast and
 work through Arrow batches; counts of pre-tokens are kept in a table of bounded size. No
@@ -20,6 +22,7 @@ by itself, so repeated rows and ids give repeated results; an empty table gives
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from itertools import islice
@@ -37,6 +40,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 MEMO = 400_000
 #: Pre-tokens of one text handled together.
 STRETCH = 200_000
+#: Bytes from which a pre-token merges by itself.
+LONG = 1024
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -70,11 +75,23 @@ class MergeTable:
     def from_json(cls, path: str) -> MergeTable:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
+        cls.check(model)
         letters = byte_alphabet()
         raw = lambda s: bytes(letters[c] for c in s)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"]]
         return cls([(raw(a), raw(b)) for a, b in merges], [t["content"] for t in model.get("added_tokens", [])])
 
+    @staticmethod
+    def check(file: dict) -> None:
+        """Refuse settings that would change counts and are not implemented here."""
+        model, cut = file["model"], file.get("pre_tokenizer") or {}
+        wrong = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+        wrong += ["normalizer"] * bool(file.get("normalizer")) + ["model type"] * (model.get("type", "BPE") != "BPE")
+        wrong += ["pre_tokenizer"] * (cut.get("type") != "ByteLevel" or cut.get("add_prefix_space", True) or not cut.get("use_regex", True))
+        wrong += ["added_tokens"] * any(t.get(k) for t in file.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word"))
+        if wrong:
+            raise ValueError(f"settings of the vocabulary file that are not implemented: {', '.join(wrong)}")
+
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.base + right
         at = np.searchsorted(self.pairs, key)
@@ -85,6 +102,13 @@ class MergeTable:
 
     def count(self, pieces: list[bytes]) -> np.ndarray:
         """Surviving symbols of each piece."""
+        long = [i for i, p in enumerate(pieces) if len(p) > LONG]
+        if long:
+            out = np.zeros(len(pieces), np.int64)
+            out[long] = [self.count_long(pieces[i]) for i in long]
+            short = np.setdiff1d(np.arange(len(pieces)), long)
+            out[short] = self.count([pieces[i] for i in short])
+            return out
         lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         left_over = lengths.copy()
         symbols = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
@@ -112,6 +136,53 @@ class MergeTable:
         return left_over
 
 
+    def count_long(self, piece: bytes) -> int:
+        """Surviving symbols of one long piece: linked symbols, and places in wait by rank."""
+        n = len(piece)
+        symbols = np.append(np.frombuffer(piece, dtype=np.uint8).astype(np.int64), 0)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)  # n stands for the end, -1 for the start
+        ranks = np.full(n + 1, NO_RANK)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+        left_over = n
+
+        def look(at: np.ndarray) -> None:
+            found = np.full(len(at), NO_RANK)
+            inner = after[at] < n
+            found[inner] = self.rank_of(symbols[at[inner]], symbols[after[at[inner]]])
+            ranks[at] = found
+            at, found = at[found != NO_RANK], found[found != NO_RANK]
+            by_rank = np.argsort(found, kind="stable")
+            at, found = at[by_rank], found[by_rank]
+            for some in np.split(at, np.flatnonzero(np.diff(found)) + 1) if len(at) else ():
+                rank = int(ranks[some[0]])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(order, rank)
+                waiting[rank].append(some)
+
+        look(np.arange(n))
+        while order:
+            rank = heapq.heappop(order)
+            place = np.unique(np.concatenate(waiting.pop(rank)))
+            place = place[ranks[place] == rank]
+            if not len(place):
+                continue
+            # where a place follows right on another, every other one applies, from the left
+            new_run = np.r_[True, place[1:] != after[place[:-1]]]
+            at_run = np.arange(len(place)) - np.flatnonzero(new_run)[np.cumsum(new_run) - 1]
+            place = place[at_run % 2 == 0]
+            gone = after[place]
+            symbols[place] = self.products[rank]
+            ranks[gone] = NO_RANK
+            after[place] = after[gone]
+            linked = after[gone] < n
+            before[after[gone[linked]]] = place[linked]
+            left_over -= len(place)
+            look(np.unique(np.r_[place, before[place[before[place] >= 0]]]))
+        return left_over
+
+
 class Counter(dict):
     """Token counts of pre-tokens, filled a batch at a time and of bounded size."""
 

@@ -9,15 +9,16 @@ on z leaves most weights at exactly zero. What is scored with is the list of non
 weights, a few thousand, bounded by the number of places.
 
 Training reads a bounded sample of labelled rows (``SAMPLE``: the rows with the smallest
-hash of their id, an id once) in one task that keeps only feature numbers. Scoring is a
-map over all rows in Arrow batches, with the weights broadcast; the text never moves.
+hash of their id, an id once). Their texts become feature numbers where they are read; one
+task gets the numbers, at most 2**BITS a row however long a text is. Scoring is a map over
+all rows in Arrow batches, with the weights broadcast; no text ever moves.
 
 Learning and holding out: a row is held out if crc32(id as text) mod 5 is 0; only labels
 of the others are read. Label, language, source and id are never features.
 
 Results by case: null and empty texts have no words and get the score of the intercept;
 null labels are no labels; an id labelled twice counts once, as toxic if either says so,
-and an id with several texts teaches its smallest; without labels of both kinds every
+and an id with several texts teaches the one of smallest SHA-256; without labels of both kinds every
 score is the smoothed share of toxic labels, 0.1 for none; repeated rows each get their
 row; an empty table gives no rows.
 """
@@ -116,25 +117,36 @@ def sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-35.0, min(35.0, x))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> DataFrame:
-    """(place, text, label): the labelled, not held-out rows with the smallest hashes, in their order."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
+    """(place, label, features): the labelled, not held-out rows with the smallest hashes, in their order."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("text"))
     # at most ``sample`` ids: small enough for every executor, so the scan filters in place
-    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-    return found.select(F.xxhash64("_id").alias("place"), "text", "label")
+    found = texts.join(F.broadcast(chosen), "_id")
+    key = F.sha2(F.coalesce("text", F.lit(b"")), 256)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Features(bits)
+        for batch in batches:
+            rows = [np.unique(own.of(text.as_py())).astype(np.int32) for text in batch.column(3)]
+            offsets = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
+            flat = pa.array(np.concatenate([np.empty(0, np.int32), *rows]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(offsets, flat)], names=["place", "label", "key", "features"])
+
+    rows = found.select(F.xxhash64("_id").alias("place"), "label", key.alias("key"), "text").mapInArrow(numbered, "place long, label int, key string, features array<int>")
+    return rows.groupBy("place").agg(F.max("label").alias("label"), F.min_by("features", "key").alias("features"))
 
 
 def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, float]:
     """(places, weights, intercept), the non-zero ones only."""
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = Features(bits), []
+        held = []
         for batch in batches:
-            for place, text, label in zip(*(c.to_pylist() for c in batch.columns)):
-                held.append((place, np.unique(found.of(text)).astype(np.int32), label))
+            for place, label, features in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                held.append((place, features.values.to_numpy(), label))
         n, toxic = len(held), sum(label for _, _, label in held)
         if toxic in (0, n):  # nothing to tell apart: the smoothed share of toxic rows
             prior = (toxic + 1) / (n + 10)
@@ -157,20 +169,28 @@ def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.n
     return places[own], weights[own], float(weights[~own].sum())
 
 
+class Scorer:
+    """Scores of texts by broadcast weights."""
+
+    def __init__(self, model: tuple[np.ndarray, np.ndarray, float], bits: int = BITS):
+        places, weights, self.intercept = model
+        self.dense, self.features = np.zeros(1 << bits), Features(bits)
+        self.dense[places] = weights
+
+    def __call__(self, text: bytes | None) -> float:
+        at = self.features.of(text)
+        at = np.unique(at[self.dense[at] != 0])
+        return sigmoid(self.intercept + float(self.dense[at].sum()))
+
+
 def score_rows(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], keep: list[str], text_col: str = "text", bits: int = BITS) -> DataFrame:
     """The columns ``keep`` of every row, and its score between 0 and 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, weights, intercept = shared.value
-        dense, found = np.zeros(1 << bits), Features(bits)
-        dense[places] = weights
+        score = Scorer(shared.value, bits)
         for batch in batches:
-            scores = []
-            for text in batch.column(0):
-                at = found.of(text.as_py())
-                at = np.unique(at[dense[at] != 0])
-                scores.append(sigmoid(intercept + float(dense[at].sum())))
+            scores = [score(text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], names=[*batch.schema.names[1:], "_score"])
 
     narrow = docs.select(F.col(text_col).cast("binary").alias("_text"), *[F.col(f"`{c}`") for c in keep])
@@ -188,8 +208,14 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
-def clean_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
+def clean_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text", bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` scored under 0.5, all columns kept; a map, no shuffle."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    packed = docs.select(F.col(text_col).alias("text"), whole.alias("row"))
-    return score_rows(packed, fit(docs, labels), ["row"]).where(F.col("_score") < 0.5).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(shared.value, bits)
+        for batch in batches:
+            yield batch.filter(pa.array([score(text.as_py()) < 0.5 for text in batch.column(at).cast(pa.binary())], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -1,9 +1,11 @@
 """The ten operators against brute force, libraries and round trips, and on odd tables."""
 
 import hashlib
+import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -84,6 +86,25 @@ def test_stretches_of_a_long_text(monkeypatch):
     assert token_counts.Counter(table).batch([text]) == whole
 
 
+def test_long_words_equal_the_library():
+    from tokenizers import Tokenizer
+
+    library, table, rng = Tokenizer.from_file(vocabulary_path()), token_counts.MergeTable.from_json(vocabulary_path()), random.Random(11)
+    words = ["".join(rng.choice(letters) for _ in range(n)) for n, letters in ((1025, "ab"), (3001, "a"), (2048, "a"), (9000, "abcdefghijklmnopqrstuvwxyz"), (8000, "etaoinshrdlu"), (1500, "éü😀"))] + ["the", ""]
+    assert table.count([w.encode() for w in words]).tolist() == [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    began = time.perf_counter()
+    assert table.count(["".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000)).encode()])[0] > 100_000
+    assert time.perf_counter() - began < 60
+
+
+def test_other_vocabulary_settings_are_refused():
+    good = {"model": {"type": "BPE"}, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}}
+    token_counts.MergeTable.check(good)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"model": {"type": "WordPiece"}}, {"model": {"type": "BPE", "byte_fallback": True}}):
+        with pytest.raises(ValueError):
+            token_counts.MergeTable.check(good | change)
+
+
 # 2 decontamination
 
 
@@ -96,7 +117,8 @@ def brute_hits(text, items):
         for i in range(len(words) - k + 1 if w else 0):
             if tuple(words[i : i + k]) in windows:
                 hit |= set(range(i, i + k))
-                names.add(str(name))
+                if name is not None:
+                    names.add(str(name))
     return len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)
 
 
@@ -105,7 +127,7 @@ def test_decontamination_by_brute_force(spark, odd, block, monkeypatch):
     monkeypatch.setattr(decontaminate.find_overlaps, "__defaults__", ("doc_id", "text", 10, block))
     rng = random.Random(2)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 50))) for _ in range(40)]
-    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 2, 4, 9, 10, 12])))) for i in range(12)] + [(12, None), (1, "MIT license"), (13, "the MIT License lorem")]
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 2, 4, 9, 10, 12])))) for i in range(12)] + [(12, None), (1, "MIT license"), (13, "the MIT License lorem"), (None, "a b c a b"), (None, "text of the")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = [(100 + i, t, "s") for i, t in enumerate(texts)] + ODD
     found = decontaminate.digest(docs_of(spark, rows), bench).collect()
@@ -424,6 +446,42 @@ def test_toxicity_learns(spark, odd, none):
     assert kept.columns == docs.columns and all(r.doc_id % 4 for r in kept.where(toxicity.held_out(F.col("doc_id"))).collect())
 
 
+def test_weights_equal_a_scalar_learner(spark):
+    rng = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 30)))) for i in range(120)]
+    labels = {i: int("word7" in t.split() or rng.random() < 0.1) for i, t in rows}
+    docs = spark.createDataFrame([*rows, (0, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, y in labels.items()], "doc_id long, toxic int")
+    bits = 12
+    places, weights, intercept = toxicity.train(toxicity.training_rows(docs, marks, bits=bits), epochs=3, bits=bits)
+    order = [r[0] for r in spark.createDataFrame([(i,) for i, _ in rows], "id long").selectExpr("id", "xxhash64(id) AS h").orderBy("h").collect()]
+    # id 0 has two texts: the one of smallest SHA-256 teaches
+    texts = dict(rows) | {0: min((rows[0][1], ""), key=lambda t: hashlib.sha256(t.encode()).hexdigest())}
+    features = toxicity.Features(bits)
+    z, n = {}, {}
+
+    def weight(at):
+        if at not in z or (at != "intercept" and abs(z[at]) <= toxicity.L1):
+            return 0.0
+        threshold = 0.0 if at == "intercept" else toxicity.L1
+        return -(z[at] - math.copysign(threshold, z[at])) / ((toxicity.BETA + math.sqrt(n[at])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(3):
+        for i in order:
+            if zlib.crc32(str(i).encode()) % 5 == 0:
+                continue
+            at = [*sorted(set(features.of(texts[i].encode()).tolist())), "intercept"]
+            w = {a: weight(a) for a in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[i]
+            for a in at:
+                step = (math.sqrt(n.get(a, 0.0) + g * g) - math.sqrt(n.get(a, 0.0))) / toxicity.ALPHA
+                z[a], n[a] = z.get(a, 0.0) + g - step * w[a], n.get(a, 0.0) + g * g
+    expected = {a: weight(a) for a in z if a != "intercept" and weight(a)}
+    assert expected and set(places.tolist()) == set(expected) and intercept == pytest.approx(weight("intercept"))
+    assert all(w == pytest.approx(expected[a]) for a, w in zip(places.tolist(), weights))
+
+
 # 9 licences
 
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
