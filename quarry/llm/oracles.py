@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.llm import sharding
 from quarry.llm.licences import SLACK, TEMPLATES, places_of
 
 
@@ -108,6 +109,40 @@ g AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM d LEFT JOIN g ON g.r = d.r
 """
 
+
+
+def _crc_table() -> list[int]:
+    """The CRC-32 of each byte, by the rule."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return table
+
+
+def _permuted(source: str, columns: str, seed: int = 20_240_229) -> str:
+    """SELECT columns and x, the rows of ``source`` with ``x`` permuted once; a and b are columns of theirs."""
+    sql = f"SELECT *, x // b AS l, x % b AS r, CAST(0 AS BIGINT) AS v FROM ({source})"
+    for i, (first, second, third) in enumerate(sharding.round_keys(seed)):
+        of, to, size = ("l", "r", "b") if i % 2 else ("r", "l", "a")
+        v = f"(({of} + {first}) % {sharding.PRIME})"
+        sql = f"SELECT * REPLACE (({v} * {v} + {second}) % {sharding.PRIME} AS v) FROM ({sql})"
+        sql = f"SELECT * REPLACE ((v * ((v + {third}) % {sharding.PRIME}) + {of}) % {sharding.PRIME} AS v) FROM ({sql})"
+        sql = f"SELECT * REPLACE (({to} + v) % {size} AS {to}) FROM ({sql})"
+    return f"SELECT {columns}, l * b + r AS x FROM ({sql})"
+
+
+#: CRCs byte by byte, the order of SHA-256 draws, and the permutation applied until it lands inside.
+OP10 = f"""
+WITH RECURSIVE t AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1])) AS c FROM documents),
+d AS (SELECT doc_id, CAST(size AS BIGINT) AS size, xor(c, 4294967295) AS text_crc32 FROM t),
+e AS (SELECT *, CAST(row_number() OVER (ORDER BY substr(sha256('20240229|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || size || '|' || text_crc32), 1, 15), doc_id NULLS FIRST, size, text_crc32) - 1 AS BIGINT) AS row_number FROM d),
+h AS (SELECT n, a, greatest(1, (n + a - 1) // a) AS b FROM (SELECT n, CAST(floor(sqrt(greatest(0, n - 1))) AS BIGINT) + 1 AS a FROM (SELECT CAST(greatest(1, count(*)) AS BIGINT) AS n FROM d))),
+w AS ({_permuted("SELECT row_number, n, a, b, row_number AS x FROM e, h", "row_number, n, a, b")} UNION ALL {_permuted("SELECT * FROM w WHERE x >= n", "row_number, n, a, b")})
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % 24 AS INTEGER) AS shard, x // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard, e.row_number FROM e JOIN w ON e.row_number = w.row_number WHERE x < n
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2,
     "op3_mixing": OP3,
@@ -116,4 +151,5 @@ ORACLES: dict[str, str] = {
     "op6_chat_format": OP6,
     "op7_warc": OP7,
     "op9_licences": OP9,
+    "op10_sharding": OP10,
 }

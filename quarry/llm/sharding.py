@@ -119,6 +119,13 @@ def content_crc(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def row_hash(seed: int) -> Column:
+    """60 bits of a SHA-256 of (seed, id, size, CRC), so that any SQL engine can repeat the order,
+    as the high bits of a long."""
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("size").cast("string"), F.col("text_crc32").cast("string")), 256)
+    return F.shiftleft(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 4)
+
+
 def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 20_240_229, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: id, size, text_crc32, row_number, shard, slot; one row per row of ``docs``.
 
@@ -126,7 +133,7 @@ def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 20_240_229, id_col
     first, then numbered inside hash buckets. The text itself never moves.
     """
     narrow = docs.select(F.col(id_col).alias("id"), content_size(F.col(text_col)).alias("size"), content_crc(F.col(text_col)).alias("text_crc32"))
-    folded = narrow.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies")).withColumn("h", F.xxhash64(F.lit(seed).cast("long"), "id", "size", "text_crc32"))
+    folded = narrow.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies")).withColumn("h", row_hash(seed))
     folded = materialise(folded, "shard-rows")
     total, groups, most = folded.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max("copies"), F.lit(0))).first()
     numbered = running_offset(folded, "copies", "h", ["id", "size", "text_crc32"], bucket_count(groups), [], "first_number")
