@@ -56,6 +56,11 @@ def text_key(text: Column) -> Column:
     return F.sha2(F.coalesce(F.concat(F.lit("t"), text), F.lit("")), 256)
 
 
+def row_key(row_id: Column, key: Column) -> Column:
+    """Id and text as one key that is never null."""
+    return F.concat(F.when(row_id.isNull(), F.lit("-")).otherwise(F.concat(F.lit("i"), row_id.cast("string"))), F.lit("|"), key)
+
+
 def shuffled(seed: int, row_id: Column, key: Column) -> Column:
     """60 bits of a SHA-256, so that any SQL engine can repeat the shuffle, as the high bits of a long."""
     digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.coalesce(row_id.cast("string"), F.lit("")), key), 256)
@@ -166,8 +171,9 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     most one document of a source is taken in part. Rows equal in id and text count as
     one document that is taken as often as they are together.
     """
-    turns = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).agg(F.sum(F.expr("(2 * taken + size) div (2 * size)")).alias("_turns"))
-    text = F.col(text_col)
-    named = docs.select(F.col(id_col).alias("own_id"), text_key(text).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    once = named.join(turns.where("_turns > 0"), F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_key") == F.col("_key")))
-    return once.dropDuplicates(["own_id", "own_key"]).withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns")))).select("row.*")
+    turns = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").groupBy(row_key(F.col(id_col), F.col("text_key")).alias("_key")).agg(F.sum(F.expr("(2 * taken + size) div (2 * size)")).alias("_turns"))
+    # repeats of a row fold before they meet; the join finds them dealt by the same key
+    named = docs.select(row_key(F.col(id_col), text_key(F.col(text_col))).alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    once = named.groupBy("own_key").agg(F.first("row").alias("row"))
+    mixed = once.join(turns.where("_turns > 0"), F.col("own_key") == F.col("_key"))
+    return mixed.withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_turns")))).select("row.*")

@@ -33,7 +33,8 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hits.n_hit,
 FROM d LEFT JOIN hits ON d.r = hits.r LEFT JOIN items ON d.r = items.r
 """
 
-#: The slots a source gets are counted; its words up to there, over the repeats, are taken.
+#: The slots a source gets are counted (a small target is taken as it is); its words up to
+#: there, over the repeats, are taken.
 OP3 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, sha256(coalesce('t' || text, '')) AS text_key FROM documents),
 e AS (SELECT *, CAST('0x' || substr(sha256('20240301|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_key), 1, 15) AS BIGINT) AS h FROM d),
@@ -48,7 +49,7 @@ s8 AS (SELECT *, coalesce(lag(high) OVER (ORDER BY number), 0) AS low FROM s7),
 b AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, least(4096, greatest(1, CAST(sum(source_size) AS BIGINT) >> 20)) AS block FROM s1),
 points AS (SELECT slot, x - floor(x) AS point FROM (SELECT slot, (slot % 65536) * CAST(0.6180339887498949 AS DOUBLE) + (slot // 65536) * CAST(0.47548671310877194 AS DOUBLE) AS x FROM (SELECT unnest(range((total + block - 1) // block)) AS slot FROM b))),
 slots AS (SELECT number, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank FROM points JOIN s8 ON point >= low AND point < high),
-counts AS (SELECT number, count(*) * (SELECT block FROM b) AS reach FROM slots GROUP BY number),
+counts AS (SELECT s8.number, CASE WHEN (SELECT block FROM b) > 1 AND s8.target < 1024 * (SELECT block FROM b) THEN CAST(floor(s8.target + 0.5) AS BIGINT) ELSE coalesce(c.n, 0) * (SELECT block FROM b) END AS reach FROM s8 LEFT JOIN (SELECT number, count(*) AS n FROM slots GROUP BY number) c ON c.number = s8.number),
 o AS (SELECT e.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM e)
 SELECT o.doc_id, o.size, s.source_size, s.target, CAST(greatest(0, least(a + size, coalesce(reach, 0)) - a) + greatest(0, least(a + size, coalesce(reach, 0) - source_size) - a) + greatest(0, least(a + size, coalesce(reach, 0) - 2 * source_size) - a) AS BIGINT) AS taken
 FROM o JOIN s8 s ON o.source IS NOT DISTINCT FROM s.source LEFT JOIN counts c ON c.number = s.number
