@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import decontaminate, mixing, neardup, sharding, toxicity
-from quarry.session import materialise, table
+from quarry.session import drop_scratch, materialise, scratch_mark, table
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. A stage's own scratch, and its input, are deleted once its output is
+    written; what the last stage has written its lazy result still reads."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, mark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
