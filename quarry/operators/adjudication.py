@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +52,22 @@ def conversation_record(system: Column, user: Column, assistant: Column) -> Colu
 
 
 def merged_bait(records: DataFrame, bait: DataFrame) -> DataFrame:
-    """Records (locator, body JSON) with their claims replaced by reviewed ones where there are any."""
+    """Records (locator, body JSON) with their claims replaced by reviewed ones (JSON) where there
+    are any; the body's other fields stay. A body that is no object becomes one of claims alone."""
+
+    @F.pandas_udf("string")
+    def replaced(body: pd.Series, claims: pd.Series) -> pd.Series:
+        def one(text: str | None, new: str) -> str:
+            try:
+                old = json.loads(text or "")
+            except ValueError:
+                old = None
+            return json.dumps((old if isinstance(old, dict) else {}) | {"claims": json.loads(new)}, ensure_ascii=False, separators=(",", ":"))
+
+        return pd.Series([t if c is None else one(t, c) for t, c in zip(body, claims)])
+
     reviewed = bait.select("locator", F.col("claims").alias("_claims"))
-    merged = F.when(F.col("_claims").isNotNull(), F.concat(F.lit('{"claims":'), F.col("_claims"), F.lit("}"))).otherwise(F.col("body"))
-    return records.join(reviewed, "locator", "left").select("locator", merged.alias("body"))
+    return records.join(reviewed, "locator", "left").select("locator", replaced("body", "_claims").alias("body"))
 
 
 def instruction_pool(templates: DataFrame, topics: DataFrame, n: int, seed: int = 42) -> DataFrame:

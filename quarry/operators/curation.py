@@ -247,3 +247,56 @@ def corpus_hash(rows: DataFrame, id_col: str, text_col: str, levels: int = 4) ->
         listed = F.array_sort(F.collect_list(F.struct("k", "h")))
         level = level.groupBy(F.expr("k div 1000").alias("up")).agg(F.sha2(F.array_join(F.transform(listed, lambda x: x["h"]), "\n"), 256).alias("h")).withColumnRenamed("up", "k")
     return level.select(F.col("h").alias("corpus_sha256"))
+
+
+def corpus_problems(chunks: DataFrame, citations: DataFrame, tags: DataFrame, bait: DataFrame, pairs: DataFrame, slices: tuple[str, ...], quotas: dict[str, int], verdicts: tuple[str, ...], total: tuple[int, int], words: tuple[int, int], cited: tuple[int, int], least_pairs: int) -> DataFrame:
+    """(rule, subject) of what an evaluation corpus breaks.
+
+    Chunks (locator, doc, text), citations (locator, doc, claim_id), index tags (locator,
+    slice), bait (locator, source), contradiction pairs (a, b, claim_a, claim_b, verdict).
+    Every rule is a filter, an aggregate or an anti-join; ranges include their ends.
+    """
+    spark = chunks.sparkSession
+    said = lambda rows, rule, subject: rows.select(F.lit(rule).alias("rule"), subject.cast("string").alias("subject"))
+    outside = lambda c, r: ~F.coalesce(c.between(*r), F.lit(False))
+    disk = chunks.select(F.col("locator").alias("_l"), F.col("doc").alias("_d"))
+    at = lambda c: F.col(c) == F.col("_l")
+    indexed = tags.select(F.col("locator").alias("_l")).distinct()
+    n_words = F.size(F.filter(F.split(F.trim("text"), r"\s+"), lambda w: w != ""))
+    per_chunk = citations.groupBy(F.col("locator").alias("_l")).agg(F.countDistinct("doc", "claim_id").alias("n"))
+    of_slice = tags.where(F.col("slice").isin(*slices)).groupBy(F.col("slice").alias("_s")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = spark.createDataFrame(list(quotas.items()) or [("", 0)], "slice string, least long").where("slice <> ''")
+    baited = tags.where("slice = 'bait'").select("locator").distinct()
+    sourced = baited.join(bait, "locator")
+    placed = sourced.join(disk.withColumnRenamed("_d", "_source_doc"), at("source")).drop("_l").join(disk, at("locator"), "left")
+    sound = pairs.where(F.col("verdict").isin(*verdicts))
+    side = lambda s: sound.select(F.concat_ws(" / ", "a", "b", F.lit(s)).alias("pair"), F.col(s).alias("locator"), F.col(f"claim_{s}").alias("claim_id"))
+    sides = side("a").unionByName(side("b"))
+    here = sides.join(disk, at("locator")).drop("_l")
+    claims = citations.select(F.col("doc").alias("_cd"), F.col("claim_id").alias("_cc")).distinct()
+    of_doc = (F.col("_d") == F.col("_cd")) & (F.col("claim_id") == F.col("_cc"))
+    cites = citations.select(F.col("locator").alias("_cl"), F.col("claim_id").alias("_cc")).distinct()
+    genuine = sound.where("verdict = 'contradiction'")
+    both = genuine.join(disk, at("a")).drop("_l").join(disk.withColumnRenamed("_d", "_e"), at("b"))
+    found = [
+        said(chunks.agg(F.count(F.lit(1)).alias("n")).where(outside(F.col("n"), total)), "total chunks", F.col("n")),
+        said(chunks.where(outside(n_words, words)), "word range", F.col("locator")),
+        said(chunks.join(per_chunk, at("locator"), "left").where(outside(F.coalesce("n", F.lit(0)), cited)), "citations of a chunk", F.col("locator")),
+        said(indexed.join(disk.select(F.col("_l").alias("locator")), at("locator"), "left_anti"), "indexed but missing", F.col("_l")),
+        said(chunks.join(indexed, at("locator"), "left_anti"), "not in the index", F.col("locator")),
+        said(tags.where(~F.col("slice").isin(*slices)), "unknown slice", F.concat_ws(" / ", "locator", "slice")),
+        said(wanted.join(of_slice, F.col("slice") == F.col("_s"), "left").where(F.coalesce("n", F.lit(0)) < F.col("least")), "slice quota", F.col("slice")),
+        said(baited.join(bait, "locator", "left_anti"), "bait without source", F.col("locator")),
+        said(sourced.join(disk, at("source"), "left_anti"), "bait of unknown source", F.col("locator")),
+        said(placed.where(~F.col("_source_doc").eqNullSafe(F.col("_d"))), "bait of another document", F.col("locator")),
+        said(pairs.where(F.col("verdict").isNull() | ~F.col("verdict").isin(*verdicts)), "invalid verdict", F.concat_ws(" / ", "a", "b")),
+        said(sides.join(disk, at("locator"), "left_anti"), "pair of unknown chunk", F.col("pair")),
+        said(here.join(claims, of_doc, "left_anti"), "claim not in the document", F.col("pair")),
+        said(here.join(claims, of_doc, "left_semi").join(cites, (F.col("locator") == F.col("_cl")) & (F.col("claim_id") == F.col("_cc")), "left_anti"), "claim does not cite the chunk", F.col("pair")),
+        said(both.where("_d = _e"), "pair within a document", F.concat_ws(" / ", "a", "b")),
+        said(genuine.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < least_pairs), "too few contradictions", F.col("n")),
+    ]
+    out = found[0]
+    for rows in found[1:]:
+        out = out.unionByName(rows)
+    return out

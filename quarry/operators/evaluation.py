@@ -17,6 +17,15 @@ def recall(reference: DataFrame, hits: DataFrame, keys: list[str], by: list[str]
     return marked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("recalled")).withColumn("recall", F.round(F.try_divide("recalled", "n"), 6))
 
 
+def bait_rejection(quotes: DataFrame, by: str) -> DataFrame:
+    """(sources, bait_rejection): the mean over ``by`` of the share of claims none of whose quotes
+    stands in the text that the bait was copied from. Quotes are (claim_id, by, quote,
+    chunk_text); the empty quote stands everywhere."""
+    held = quotes.groupBy("claim_id", by).agg(F.bool_and(~F.contains("chunk_text", F.col("quote"))).alias("held"))
+    per = held.groupBy(by).agg(F.avg(F.when(F.col("held"), 1.0).otherwise(0.0)).alias("r"))
+    return per.agg(F.count(F.lit(1)).alias("sources"), F.round(F.avg("r"), 6).alias("bait_rejection"))
+
+
 def coverage(cited: Column, allowed: Column, floor: float = 0.8) -> tuple[Column, Column, Column]:
     """(share of allowed ids cited, ids cited that aren't allowed, passed): under four allowed
     ids all must be cited, from four on a share of ``floor``."""

@@ -58,7 +58,7 @@ def claim_gate(claims: DataFrame, evidence: DataFrame, chunks: DataFrame) -> Dat
 
 def contradictions(relations: DataFrame) -> DataFrame:
     """Subjects and predicates with more than one object; all relation ids, distinct sources."""
-    known = relations.where("subject is not null and predicate is not null")
+    known = relations.where("subject is not null and predicate is not null and object is not null")
     return (
         known.groupBy("subject", "predicate")
         .agg(F.countDistinct("object").alias("n_objects"), F.array_sort(F.collect_set("object")).alias("objects"), F.array_sort(F.collect_list("relation_id")).alias("relation_ids"), F.array_sort(F.collect_set("source_id")).alias("sources"))
@@ -66,6 +66,30 @@ def contradictions(relations: DataFrame) -> DataFrame:
     )
 
 
+def contradiction_candidates(relations: DataFrame, pages: DataFrame) -> DataFrame:
+    """(kind, subject, predicate, objects, relation_ids, sources, path): contradicting relations,
+    and wiki pages whose status says that they are conflicted."""
+    found = contradictions(relations).select(F.lit("relation").alias("kind"), "subject", "predicate", "objects", "relation_ids", "sources", F.lit(None).cast("string").alias("path"))
+    none, nothing = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    marked = pages.where("status = 'conflicted'").select(F.lit("conflicted_page").alias("kind"), none.alias("subject"), none.alias("predicate"), nothing.alias("objects"), nothing.alias("relation_ids"), nothing.alias("sources"), "path")
+    return found.unionByName(marked)
+
+
+def without_dangling(relations: DataFrame, claims: DataFrame) -> DataFrame:
+    """Relations whose supporting claim is known; those that name none stay."""
+    known = claims.select(F.col("claim_id").alias("_c")).distinct()
+    named = F.coalesce("supporting_claim", F.lit("")) != ""
+    return relations.where(~named).unionByName(relations.where(named).join(known, F.col("supporting_claim") == F.col("_c"), "left_semi"))
+
+
+def spans_valid(claims: DataFrame, evidence: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(claim_id, valid): whether a claim has evidence, all of it a span within its chunk that
+    slices to the quote. Evidence is (claim_id, locator, start_char, end_char, quote)."""
+    judged = with_chunk_text(evidence, chunks).select("claim_id", F.coalesce(X.span_ok(F.col("start_char"), F.col("end_char"), F.col("chunk_text"), F.col("quote")), F.lit(False)).alias("ok"))
+    per = judged.groupBy(F.col("claim_id").alias("_c")).agg(F.bool_and("ok").alias("ok"))
+    return claims.select("claim_id").join(per, F.col("claim_id") == F.col("_c"), "left").select("claim_id", F.coalesce("ok", F.lit(False)).alias("valid"))
+
+
 def merge_entities(rows: DataFrame) -> DataFrame:
     """One row an id: longest name (then smallest), other names and aliases, commonest type
     (then smallest), producer and source of the first row. Falsy ids go."""
@@ -89,11 +113,6 @@ def support_union(claims: DataFrame, key: Column, min_support: int = 1) -> DataF
     return grouped.where(F.col("support") >= min_support).select("first.*", "support")
 
 
-def keep_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
-    window = Window.partitionBy("_key").orderBy(order)
-    return rows.withColumn("_key", key).withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_key", "_n")
-
-
 def dossier(ids: DataFrame, claims: DataFrame, evidence: DataFrame, chunks: DataFrame) -> DataFrame:
     """(pos, claim_id, status, reason, claim): ids in their order, included or rejected and why."""
     asked = ids.select("pos", F.col("claim_id").alias("_c"))

@@ -25,6 +25,39 @@ def stale(rows: DataFrame, id_col: str, stamp: Column, now: str, days: int = 180
     return rows.select(id_col, age.alias("age_days")).where(F.col("age_days") > days)
 
 
+#: Fields a page must have, and what its status may be: fixed values.
+REQUIRED = ("type", "title", "timestamp")
+STATUSES = ("conflicted", "draft", "researched", "seed", "stale")
+
+
+def knowledge_base(pages: DataFrame, edges: DataFrame, now: str, days: int = 180) -> DataFrame:
+    """(category, path, detail) of a knowledge base's problems: schema, broken-link, orphan, stale.
+
+    Pages are (path, has_front, type, title, timestamp, status); a null field is a missing
+    one. Edges are (path, link, target). A page without front matter has that problem alone,
+    and its links count for nobody. Index pages are no orphans. Only researched pages grow
+    stale; their timestamps must parse.
+    """
+    problem = lambda category, detail: F.struct(F.lit(category).alias("category"), detail.alias("detail"))
+    none = F.lit(None).cast("struct<category:string,detail:string>")
+    missing = [F.when(F.col("has_front") & F.col(f).isNull(), problem("schema", F.lit(f"missing required field '{f}'"))).otherwise(none) for f in REQUIRED]
+    odd = F.when(F.col("has_front") & F.col("status").isNotNull() & ~F.col("status").isin(*STATUSES), problem("schema", F.concat(F.lit("invalid status '"), "status", F.lit("'"))))
+    bare = F.when(~F.col("has_front"), problem("schema", F.lit("missing frontmatter block")))
+    stamp = F.col("timestamp").try_cast("timestamp")
+    watched = F.col("has_front") & (F.col("status") == "researched") & (F.coalesce("timestamp", F.lit("")) != "")
+    age = F.floor((F.unix_seconds(F.lit(now).cast("timestamp")) - F.unix_seconds(stamp)) / 86400)
+    unread = F.when(watched & stamp.isNull(), problem("schema", F.concat(F.lit("unparseable timestamp '"), "timestamp", F.lit("'"))))
+    old = F.when(watched & (age > days), problem("stale", F.concat(F.lit("last updated "), age.cast("string"), F.lit(" days ago"))))
+    own = pages.select("path", F.explode(F.filter(F.array(bare, *missing, odd, unread, old), lambda x: x.isNotNull())).alias("p")).select("p.category", "path", "p.detail")
+    read = edges.where(~F.col("link").rlike("^https?:")).join(pages.where("has_front").select(F.col("path").alias("_from")).distinct(), F.col("path") == F.col("_from"), "left_semi")
+    known = pages.select(F.col("path").alias("_known")).distinct()
+    broken = read.join(known, F.col("target") == F.col("_known"), "left_anti").select(F.lit("broken-link").alias("category"), "path", F.concat(F.lit("links to missing file '"), "link", F.lit("'")).alias("detail"))
+    is_index = (F.coalesce("type", F.lit("")) == "Index") | F.col("path").rlike("(^|/)index[.]md$")
+    linked = read.select(F.col("target").alias("_to")).distinct()
+    alone = pages.where(F.col("has_front") & ~is_index).join(linked, F.col("path") == F.col("_to"), "left_anti").select(F.lit("orphan").alias("category"), "path", F.lit("no incoming links").alias("detail"))
+    return own.unionByName(broken).unionByName(alone)
+
+
 def routes(pages: DataFrame, doc_col: str, text_col: str) -> DataFrame:
     """A conversion route for each document from signals of its pages, the first rule that holds."""
     text = F.col(text_col)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,41 @@ def bm25_scores(docs: DataFrame, id_col: str, text_col: str, query: str) -> Data
     return counted.where(hit).crossJoin(F.broadcast(figures)).select("id", F.round(score, 6).alias("score"))
 
 
+def index_tables(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """What lexical search reads: postings, sorted by term so that a scan for a few terms skips
+    the other row groups, and the collection's figures (n, avgdl), one row."""
+    found = postings(docs, id_col, text_col).repartitionByRange("term", "id").sortWithinPartitions("term", "id")
+    length = F.size(X.tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    return found, docs.agg(F.count(F.lit(1)).alias("n"), F.avg(length).alias("avgdl"))
+
+
+def bm25_of_postings(found: DataFrame, figures: DataFrame, query: str) -> DataFrame:
+    """(id, score) from stored postings: only rows of the query's terms are read."""
+    terms = sorted(set(_query_terms(query)))
+    rows = found.where(F.col("term").isin(terms)) if terms else found.limit(0)
+    df = rows.groupBy(F.col("term").alias("_t")).agg(F.count(F.lit(1)).alias("df"))
+    # one row of figures and a row for each term of the query
+    joined = rows.join(F.broadcast(df), F.col("term") == F.col("_t")).crossJoin(F.broadcast(figures))
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    return joined.groupBy("id").agg(F.round(F.sum(part), 6).alias("score"))
+
+
+def embedded(docs: DataFrame, id_col: str, text_col: str, embed, batch: int = 64) -> DataFrame:
+    """(id, text, vector): texts go to ``embed`` (a list of texts to a list of vectors) in batches,
+    on the executors; ids and texts that are null are left out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch].copy()
+                part["vector"] = [[float(x) for x in v] for v in embed(part["text"].tolist())]
+                yield part
+
+    known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    return known.mapInPandas(run, "id string, text string, vector array<float>")
+
+
 def _occurrences(words: str, term: str) -> Column:
     return F.size(F.filter(words, lambda x: x == term))
 
@@ -85,6 +123,14 @@ def rrf_fuse(lists: list[DataFrame], k: int = RRF_K) -> DataFrame:
     return fused.withColumn("rank", F.row_number().over(order).cast("long")).select("id", "score", "rank")
 
 
+def hybrid_of_index(found: DataFrame, figures: DataFrame, query: str, vectors: DataFrame | None, query_vector: list[float] | None, k: int) -> DataFrame:
+    """As ``hybrid``, from stored postings and vectors (id, vector)."""
+    lists = [ranked(bm25_of_postings(found, figures, query), k).select("id", "rank")]
+    if vectors is not None:
+        lists.append(vector_topk(vectors, "id", "vector", query_vector, k).select("id", "rank"))
+    return rrf_fuse(lists).where(F.col("rank") <= k)
+
+
 def hybrid(docs: DataFrame, id_col: str, text_col: str, query: str, vectors: DataFrame | None, vec_id: str, vec_col: str, query_vector, k: int) -> DataFrame:
     """k of each list, fused, k of that; lexical alone if there are no vectors."""
     lists = [bm25_topk(docs, id_col, text_col, query, k).select("id", "rank")]

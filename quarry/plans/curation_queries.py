@@ -144,6 +144,47 @@ def corpus_quota(spark, sf_dir):
     return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).withColumn("met", F.col("n") >= 60)
 
 
+#: The tables as an evaluation corpus: documents are chunks of their source, tagged by language
+#: and source, claims are labels, and neighbours by id make bait and pairs.
+CORPUS_SQL = r"""WITH chunks AS (SELECT CAST(doc_id AS VARCHAR) AS locator, source AS doc, text, doc_id FROM documents),
+citations AS (SELECT CAST(l.doc_id AS VARCHAR) AS locator, source AS doc, 'q' || quality AS claim_id FROM labels l JOIN documents d ON d.doc_id = l.doc_id UNION ALL SELECT CAST(l.doc_id AS VARCHAR), source, 't' || toxic FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+tags AS (SELECT CAST(doc_id AS VARCHAR) AS locator, lang AS slice FROM documents WHERE doc_id % 19 <> 0 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'bait' FROM documents WHERE doc_id % 10 = 3 UNION ALL SELECT 'x' || item_id, 'en' FROM benchmark),
+bait AS (SELECT CAST(doc_id AS VARCHAR) AS locator, CASE WHEN doc_id % 3 = 0 THEN 'gone' ELSE CAST(doc_id + 1 AS VARCHAR) END AS source FROM documents WHERE doc_id % 10 = 3 AND doc_id % 7 <> 0),
+pairs AS (SELECT CAST(doc_id AS VARCHAR) AS a, CAST(doc_id + 2 AS VARCHAR) AS b, 'q1' AS claim_a, 'q' || (doc_id % 4) AS claim_b, CASE doc_id % 3 WHEN 0 THEN 'contradiction' WHEN 1 THEN 'unclear' ELSE 'maybe' END AS verdict FROM documents WHERE doc_id % 5 = 0),
+sound AS (SELECT * FROM pairs WHERE verdict IN ('contradiction', 'not_contradiction', 'unclear')),
+sides AS (SELECT a || ' / ' || b || ' / a' AS pair, a AS locator, claim_a AS claim_id FROM sound UNION ALL SELECT a || ' / ' || b || ' / b', b, claim_b FROM sound),
+here AS (SELECT s.*, k.doc FROM sides s JOIN chunks k ON k.locator = s.locator)
+SELECT 'total chunks' AS rule, CAST(count(*) AS VARCHAR) AS subject FROM chunks HAVING count(*) NOT BETWEEN 1 AND 100
+UNION ALL SELECT 'word range', locator FROM chunks WHERE len(list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '')) NOT BETWEEN 20 AND 450
+UNION ALL SELECT 'citations of a chunk', k.locator FROM chunks k LEFT JOIN (SELECT locator, count(DISTINCT claim_id) AS n FROM citations GROUP BY locator) c ON c.locator = k.locator WHERE coalesce(n, 0) NOT BETWEEN 1 AND 9
+UNION ALL SELECT DISTINCT 'indexed but missing', locator FROM tags WHERE locator NOT IN (SELECT locator FROM chunks)
+UNION ALL SELECT 'not in the index', locator FROM chunks WHERE locator NOT IN (SELECT locator FROM tags)
+UNION ALL SELECT 'unknown slice', locator || ' / ' || slice FROM tags WHERE slice NOT IN ('en', 'de', 'fr', 'bait')
+UNION ALL SELECT 'slice quota', s FROM (SELECT unnest(['en', 'bait']) AS s, unnest([60, 100000]) AS least) q WHERE (SELECT count(*) FROM tags WHERE slice = q.s) < least
+UNION ALL SELECT DISTINCT 'bait without source', locator FROM tags WHERE slice = 'bait' AND locator NOT IN (SELECT locator FROM bait)
+UNION ALL SELECT 'bait of unknown source', locator FROM bait WHERE source NOT IN (SELECT locator FROM chunks)
+UNION ALL SELECT 'bait of another document', b.locator FROM bait b JOIN chunks s ON s.locator = b.source LEFT JOIN chunks k ON k.locator = b.locator WHERE s.doc IS DISTINCT FROM k.doc
+UNION ALL SELECT 'invalid verdict', a || ' / ' || b FROM pairs WHERE verdict NOT IN ('contradiction', 'not_contradiction', 'unclear')
+UNION ALL SELECT 'pair of unknown chunk', pair FROM sides WHERE locator NOT IN (SELECT locator FROM chunks)
+UNION ALL SELECT 'claim not in the document', pair FROM here WHERE NOT EXISTS (SELECT 1 FROM citations c WHERE c.doc = here.doc AND c.claim_id = here.claim_id)
+UNION ALL SELECT 'claim does not cite the chunk', pair FROM here WHERE EXISTS (SELECT 1 FROM citations c WHERE c.doc = here.doc AND c.claim_id = here.claim_id) AND NOT EXISTS (SELECT 1 FROM citations c WHERE c.locator = here.locator AND c.claim_id = here.claim_id)
+UNION ALL SELECT 'pair within a document', s.a || ' / ' || s.b FROM sound s JOIN chunks x ON x.locator = s.a JOIN chunks y ON y.locator = s.b WHERE verdict = 'contradiction' AND x.doc = y.doc
+UNION ALL SELECT 'too few contradictions', CAST(count(*) AS VARCHAR) FROM sound WHERE verdict = 'contradiction' HAVING count(*) < 100000"""
+
+
+@query("corpus_validate", CORPUS_SQL)
+def corpus_validate(spark, sf_dir):
+    d, labels, b = (table(spark, sf_dir, t) for t in ("documents", "labels", "benchmark"))
+    n, at = F.col("doc_id"), F.col("doc_id").cast("string").alias("locator")
+    known = labels.join(d.select("doc_id", "source"), "doc_id")
+    mark = lambda prefix, c: known.select(at, F.col("source").alias("doc"), F.concat(F.lit(prefix), F.col(c).cast("string")).alias("claim_id"))
+    tags = d.where(n % 19 != 0).select(at, F.col("lang").alias("slice")).unionByName(d.where(n % 10 == 3).select(at, F.lit("bait").alias("slice"))).unionByName(b.select(F.concat(F.lit("x"), F.col("item_id").cast("string")).alias("locator"), F.lit("en").alias("slice")))
+    bait = d.where((n % 10 == 3) & (n % 7 != 0)).select(at, F.when(n % 3 == 0, "gone").otherwise((n + 1).cast("string")).alias("source"))
+    verdict = F.when(n % 3 == 0, "contradiction").when(n % 3 == 1, "unclear").otherwise("maybe")
+    pairs = d.where(n % 5 == 0).select(n.cast("string").alias("a"), (n + 2).cast("string").alias("b"), F.lit("q1").alias("claim_a"), F.concat(F.lit("q"), (n % 4).cast("string")).alias("claim_b"), verdict.alias("verdict"))
+    return C.corpus_problems(d.select(at, F.col("source").alias("doc"), "text"), mark("q", "quality").unionByName(mark("t", "toxic")), tags, bait, pairs, ("en", "de", "fr", "bait"), {"en": 60, "bait": 100_000}, ("contradiction", "not_contradiction", "unclear"), (1, 100), (20, 450), (1, 9), 100_000)
+
+
 @query("corpus_hash", "WITH l0 AS (SELECT doc_id AS k, sha256(coalesce(text, '')) AS h FROM documents), l1 AS (SELECT k // 1000 AS k, sha256(string_agg(h, chr(10) ORDER BY k)) AS h FROM l0 GROUP BY k // 1000), l2 AS (SELECT k // 1000 AS k, sha256(string_agg(h, chr(10) ORDER BY k)) AS h FROM l1 GROUP BY k // 1000), l3 AS (SELECT k // 1000 AS k, sha256(string_agg(h, chr(10) ORDER BY k)) AS h FROM l2 GROUP BY k // 1000) SELECT sha256(string_agg(h, chr(10) ORDER BY k)) AS corpus_sha256 FROM l3 GROUP BY k // 1000")
 def corpus_hash(spark, sf_dir):
     return C.corpus_hash(table(spark, sf_dir, "documents"), "doc_id", "text")

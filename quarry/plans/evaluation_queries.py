@@ -36,11 +36,14 @@ def quote_overlap_matched(spark, sf_dir):
     return found.select("lang", "n", F.col("recalled").alias("matched"), F.col("recall").alias("gold_match_rate"))
 
 
-@query("bait_rejection", CHECK + ", per AS (SELECT source_id, avg(CASE WHEN reasons LIKE '%not verbatim%' THEN 1.0 ELSE 0.0 END) AS r FROM checked WHERE n_evidence > 0 GROUP BY source_id) SELECT count(*) AS sources, round(avg(r), 6) AS bait_rejection FROM per")
+@query("bait_rejection", CHECK + ", held AS (SELECT c.claim_id, c.source_id, bool_and(NOT contains(coalesce(k.text, ''), e.quote)) AS held FROM claims c JOIN evidence e ON e.claim_id = c.claim_id LEFT JOIN chunks k ON k.locator = 'd' || (c.doc_id + 1) GROUP BY c.claim_id, c.source_id), per AS (SELECT source_id, avg(CASE WHEN held THEN 1.0 ELSE 0.0 END) AS r FROM held GROUP BY source_id) SELECT count(*) AS sources, round(avg(r), 6) AS bait_rejection FROM per")
 def bait_rejection(spark, sf_dir):
-    checked = E.claims_check(B.claims(spark, sf_dir), _evidence(spark, sf_dir), B.chunks(spark, sf_dir)).where("n_evidence > 0")
-    per = checked.groupBy("source_id").agg(F.avg(F.when(F.contains("reasons", F.lit("not verbatim")), 1.0).otherwise(0.0)).alias("r"))
-    return per.agg(F.count(F.lit(1)).alias("sources"), F.round(F.avg("r"), 6).alias("bait_rejection"))
+    """Each document is bait copied from the next one: a claim is rejected if none of its quotes
+    stands there."""
+    claims = B.claims(spark, sf_dir)
+    source = claims.select("claim_id", F.concat(F.lit("d"), (F.col("ord") + 1).cast("string")).alias("locator"))
+    quotes = _evidence(spark, sf_dir).select("claim_id", "source_id", "quote").join(source, "claim_id")
+    return V.bait_rejection(E.with_chunk_text(quotes, B.chunks(spark, sf_dir)), "source_id")
 
 
 ALLOWED = ["the", "and", "of", "der", "die", "que"]

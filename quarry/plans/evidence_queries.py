@@ -117,9 +117,11 @@ def dossier_markdown(spark, sf_dir):
     return E.render_dossier(_dossier(spark, sf_dir))
 
 
-@query("contradictions", "SELECT 'part:' || l_partkey AS subject, 'flag' AS predicate, count(DISTINCT l_returnflag) AS n_objects, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS objects, string_agg(l_orderkey || '-' || l_linenumber, ',' ORDER BY l_orderkey || '-' || l_linenumber) AS relation_ids, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS sources FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_returnflag) > 1")
+@query("contradictions", "SELECT 'part:' || l_partkey AS subject, 'flag' AS predicate, count(DISTINCT l_returnflag) AS n_objects, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS objects, string_agg(l_orderkey || '-' || l_linenumber, ',' ORDER BY l_orderkey || '-' || l_linenumber) AS relation_ids, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS sources FROM lineitem WHERE l_linenumber <> 4 GROUP BY l_partkey HAVING count(DISTINCT l_returnflag) > 1")
 def contradictions(spark, sf_dir):
-    found = E.contradictions(B.relations(spark, sf_dir))
+    """A fourth line has no object: it makes no candidate, and none of its ids or sources shows."""
+    r = B.relations(spark, sf_dir)
+    found = E.contradictions(r.withColumn("object", F.when(~F.col("relation_id").endswith("-4"), F.col("object"))))
     return found.select("subject", "predicate", "n_objects", *[F.array_join(c, ",").alias(c) for c in ("objects", "relation_ids", "sources")])
 
 
@@ -196,6 +198,57 @@ def lint_stale(spark, sf_dir):
     return L.stale(o.where("o_orderstatus = 'O'"), "o_orderkey", F.col("o_orderdate"), "2000-01-01 00:00:00", 180)
 
 
+@query("contradiction_candidates", f"""WITH {B.PATHS_SQL}, r AS (SELECT 'part:' || l_partkey AS subject, count(DISTINCT l_returnflag) AS n, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS objects FROM lineitem GROUP BY l_partkey)
+SELECT 'relation' AS kind, subject, objects, CAST(NULL AS VARCHAR) AS path FROM r WHERE n > 1 UNION ALL SELECT 'conflicted_page', NULL, NULL, path FROM paths WHERE page_id % 5 = 2""")
+def contradiction_candidates(spark, sf_dir):
+    pages = B.page_paths(spark, sf_dir).select("path", F.when(F.col("page_id") % 5 == 2, "conflicted").otherwise("seed").alias("status"))
+    return E.contradiction_candidates(B.relations(spark, sf_dir), pages).select("kind", "subject", F.array_join("objects", ",").alias("objects"), "path")
+
+
+@query("dangling_relations", "SELECT l_orderkey || '-' || l_linenumber AS relation_id FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus = 'O' WHERE l_linenumber = 1 OR o_orderkey IS NOT NULL")
+def dangling_relations(spark, sf_dir):
+    """Lines as relations: the first names no claim, the others the order, known if it is open."""
+    line, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    named = line.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("relation_id"), F.when(F.col("l_linenumber") > 1, F.col("l_orderkey").cast("string")).alias("supporting_claim"))
+    return E.without_dangling(named, o.where("o_orderstatus = 'O'").select(F.col("o_orderkey").cast("string").alias("claim_id"))).select("relation_id")
+
+
+@query("claim_spans", "WITH e AS (SELECT doc_id, unnest([0, 1]) AS k, text FROM documents WHERE doc_id % 4 <> 3), j AS (SELECT doc_id, CASE WHEN k = 1 AND doc_id % 4 = 2 THEN false ELSE length(text) >= (k + 1) * 20 END AS ok FROM e) SELECT 'c_' || d.doc_id AS claim_id, coalesce(bool_and(ok), false) AS valid FROM documents d LEFT JOIN j ON j.doc_id = d.doc_id GROUP BY d.doc_id")
+def claim_spans(spark, sf_dir):
+    """Two spans for each document but every fourth; some second ones echo another quote."""
+    d = table(spark, sf_dir, "documents")
+    start = F.col("k") * 20
+    quote = F.when((F.col("k") == 1) & (F.col("doc_id") % 4 == 2), F.lit("another quote")).otherwise(F.expr("substring(text, k * 20 + 1, 20)"))
+    cited = d.where("doc_id % 4 <> 3").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
+    claim, locator = F.concat(F.lit("c_"), F.col("doc_id").cast("string")).alias("claim_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("locator")
+    evidence = cited.select(claim, locator, start.alias("start_char"), (start + 20).alias("end_char"), quote.alias("quote"))
+    return E.spans_valid(d.select(claim), evidence, B.chunks(spark, sf_dir))
+
+
+KB_SQL = f"""WITH {B.PATHS_SQL},
+kb AS (SELECT page_id, path, page_id % 11 <> 0 AS front, CASE page_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Index' ELSE 'Topic' END AS type, CASE WHEN page_id % 13 <> 0 THEN 'T' END AS title, CASE page_id % 3 WHEN 0 THEN '1999-01-02' WHEN 1 THEN '1999-12-31' ELSE 'soon' END AS timestamp, CASE WHEN page_id % 17 = 0 THEN 'odd' WHEN page_id % 2 = 0 THEN 'researched' END AS status FROM paths),
+good AS (SELECT path, link, target FROM resolved WHERE NOT regexp_matches(link, '^https?:') AND path IN (SELECT path FROM kb WHERE front))
+SELECT 'schema' AS category, path, 'missing frontmatter block' AS detail FROM kb WHERE NOT front
+UNION ALL SELECT 'schema', path, 'missing required field ''type''' FROM kb WHERE front AND type IS NULL
+UNION ALL SELECT 'schema', path, 'missing required field ''title''' FROM kb WHERE front AND title IS NULL
+UNION ALL SELECT 'schema', path, 'invalid status ''odd''' FROM kb WHERE front AND status = 'odd'
+UNION ALL SELECT 'schema', path, 'unparseable timestamp ''soon''' FROM kb WHERE front AND status = 'researched' AND timestamp = 'soon'
+UNION ALL SELECT 'stale', path, 'last updated 363 days ago' FROM kb WHERE front AND status = 'researched' AND timestamp = '1999-01-02'
+UNION ALL SELECT 'broken-link', path, 'links to missing file ''' || link || '''' FROM good WHERE target NOT IN (SELECT path FROM kb)
+UNION ALL SELECT 'orphan', path, 'no incoming links' FROM kb WHERE front AND coalesce(type, '') <> 'Index' AND NOT regexp_matches(path, '(^|/)index[.]md$') AND path NOT IN (SELECT target FROM good)"""
+
+
+@query("kb_lint", KB_SQL)
+def kb_lint(spark, sf_dir):
+    """Pages as a knowledge base, with front matter that is missing or odd by their number."""
+    n = F.col("page_id")
+    kind = F.when(n % 7 == 0, F.lit(None)).when(n % 7 == 1, "Index").otherwise("Topic")
+    stamp = F.when(n % 3 == 0, "1999-01-02").when(n % 3 == 1, "1999-12-31").otherwise("soon")
+    status = F.when(n % 17 == 0, "odd").when(n % 2 == 0, "researched")
+    pages = B.page_paths(spark, sf_dir).select("path", (n % 11 != 0).alias("has_front"), kind.alias("type"), F.when(n % 13 != 0, "T").alias("title"), stamp.alias("timestamp"), status.alias("status"))
+    return L.knowledge_base(pages, B.page_edges(spark, sf_dir), "1999-12-31 12:00:00")
+
+
 @query("ocr_garbage", r"SELECT source, count(*) AS pages, count(*) FILTER (WHERE length(text) > 0 AND 1 - length(regexp_replace(text, '[^\x09-\x0d\x20-\x7e]', '', 'g')) / CAST(length(text) AS DOUBLE) > 0.05) AS garbage FROM documents GROUP BY source")
 def ocr_garbage(spark, sf_dir):
     d = table(spark, sf_dir, "documents")

@@ -39,9 +39,17 @@ def build_index(spark: SparkSession, folder: str, tables: dict[str, DataFrame],
         rows.write.parquet(f"{fresh}/{name}")
     counts = {name: spark.read.parquet(f"{fresh}/{name}").count() for name in tables}
     fs.create(path(f"{fresh}/{MARKER}")).close()
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(path(fresh), target)
+    # a crash in between leaves the old index beside, or the new one in place: never none
+    aside = path(f"{folder}.old-{uuid.uuid4().hex}")
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, aside):
+        raise OSError(f"{folder} can't be moved aside")
+    if not fs.rename(path(fresh), target):
+        if replaced:
+            fs.rename(aside, target)
+        raise OSError(f"{fresh} can't be put in place")
+    if replaced:
+        fs.delete(aside, True)
     return counts
 
 

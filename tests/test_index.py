@@ -1,6 +1,7 @@
 """Index build, tools, sinks and streams on small folders of our own."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from quarry.streaming import ledger
 def project(tmp_path_factory):
     root = tmp_path_factory.mktemp("project")
     (root / "kb/sub").mkdir(parents=True)
-    (root / "kb/index.md").write_text("---\ntype: Index\ntitle: Start\ntimestamp: 2024-01-01\n---\nSee [a](sub/a.md).\n")
-    (root / "kb/sub/a.md").write_text('---\ntype: Topic\ntitle: "On tides"\nstatus: researched\ntimestamp: 2024-01-02\n---\nTides rise. [up](/index.md)\n')
+    (root / "kb/index.md").write_text("---\ntype: Index\ntitle: Start\ntimestamp: 2024-01-01\n---\nSee [a](sub/a.md), [out](../out.md), [web](https://x.org/y.md).\n")
+    (root / "kb/sub/a.md").write_text('---\ntype: Topic\ntitle: "On tides"\nstatus: conflicted\ntimestamp: 2024-01-02\nsource: doc1\nsource_docs:\n  - d1\n  - "d2"\ntags: [x, \'y\']\n---\nTides rise. [up](/index.md)\n')
     (root / "kb/plain.md").write_text("no front matter")
     run = root / "pdf/doc1"
     run.mkdir(parents=True)
@@ -44,10 +45,56 @@ def test_compile_and_tools(spark, project):
     assert [r.title for r in index.search_wiki("tides").collect()] == ["On tides"]
     assert index.get_entity("MOON").first().aliases == ["Luna"]
     assert {(r.node, r.depth) for r in index.neighbors("tide", 2).collect()} == {("e1", 1), ("night", 2)}
-    assert index.find_contradictions().first().objects == ["night", "tide"]
+    assert [(r.kind, r.objects, r.path) for r in index.find_contradictions().orderBy("kind").collect()] == [("conflicted_page", None, "sub/a.md"), ("relation", ["night", "tide"], None)]
+    # links are resolved against their page, and those that leave the base are gone
+    assert {(r.from_path, r.to_path) for r in index.tables["wiki_links"].collect()} == {("index.md", "sub/a.md"), ("sub/a.md", "index.md")}
+    assert [(r.node, r.depth) for r in index.link_neighbors("index.md").collect()] == [("sub/a.md", 1)]
+    moon = index.get_entity("e1").first()
+    assert moon.mentions == ["n1"] and [tuple(r)[0] for r in moon.relations] == ["r1", "r2"]
+    assert index.get_entity("tide").count() == 0
+    front = json.loads(index.read_page("sub/a.md").first().frontmatter_json)
+    assert front["title"] == "On tides" and json.loads(front["source_docs"]) == ["d1", "d2"] and json.loads(front["tags"]) == ["x", "y"]
+    assert tuple(index.get_sources(page="sub/a.md").first()) == ("sub/a.md", "doc1", '["d1","d2"]', None)
     assert [(r.claim_id, r.status) for r in index.compose_dossier(["c_2", "c_1"]).collect()] == [("c_2", "rejected"), ("c_1", "included")]
     assert index.get_sources(claim="c_1").first().source_id == "doc1"
-    assert index.read_page("sub/a.md").first().status == "researched"
+    assert index.search_wiki("tides").first().status == "conflicted"
+    # lexical answers come from the postings: without them there are none, and they equal a search of the texts
+    from quarry.operators import search
+
+    stored, figures, claims = index.tables["claim_postings"], index.tables["claim_figures"], index.tables["claims"]
+    for question in ("tides", "twice tides sleep", "absent", ""):
+        assert {tuple(r) for r in search.bm25_of_postings(stored, figures, question).collect()} == {tuple(r) for r in search.bm25_scores(claims, "claim_id", "claim", question).collect()}
+    assert re.search(r"PushedFilters: \[[^]]*In\(term", search.bm25_of_postings(stored, figures, "tides twice")._jdf.queryExecution().executedPlan().toString())
+    index.tables["claim_postings"] = stored.limit(0)
+    assert index.search_claims("twice").count() == 0
+
+
+def _lengths(texts):
+    return [[float(len(t)), 1.0] for t in texts]
+
+
+def test_vectors_are_compiled_and_searched(spark, project):
+    folder = f"{project}/vector-index"
+    counts = compile_index(spark, folder, f"{project}/kb", {"pdf": f"{project}/pdf"}, _lengths, "lengths")
+    assert counts["claim_vectors"] == 2 and counts["wiki_vectors"] == 2
+    assert Index(spark, folder).degraded and not Index(spark, folder, _lengths).degraded
+    # "Tides sleep" has eleven characters, like the question, and no word of it
+    assert [r.claim_id for r in Index(spark, folder, _lengths).search_claims("abcdefghijk", k=1).collect()] == ["c_2"]
+    assert {r.key: r.value for r in Index(spark, folder).tables["meta"].collect()}["embedder"] == "lengths"
+
+
+def test_a_failed_rename_leaves_the_old_index(spark, tmp_path, monkeypatch):
+    folder = f"{tmp_path}/i"
+    sinks.build_index(spark, folder, {"t": spark.range(3)}, [])
+    sinks.build_index(spark, folder, {"t": spark.range(5)}, [])
+    assert sinks.read_index(spark, folder)["t"].count() == 5 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["i"]
+
+
+def test_folders_without_claims_are_no_runs(spark, project):
+    other = project / "pdf/notes"
+    other.mkdir()
+    (other / "chunks.jsonl").write_text('{"node_id": "x", "text": "no run"}\n')
+    assert {r.run for r in jsonl.run_rows(spark, f"{project}/pdf", "pdf", "chunks").collect()} == {"doc1"}
 
 
 def test_refusals(spark, project, tmp_path):
