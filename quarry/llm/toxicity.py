@@ -10,7 +10,8 @@ weights, a few thousand, bounded by the number of places.
 
 Training reads a bounded sample of labelled rows (``SAMPLE``: the rows with the smallest
 hash of their id, an id once). Their texts become feature numbers where they are read; one
-task gets the numbers, at most 2**BITS a row however long a text is. Scoring is a map over
+task gets the numbers as compressed gaps, at most 2**BITS a row however long a text is, and
+keeps them so. Scoring is a map over
 all rows in Arrow batches, with the weights broadcast; no text ever moves.
 
 Learning and holding out: a row is held out if crc32(id as text) mod 5 is 0; only labels
@@ -26,6 +27,7 @@ row; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,6 +119,15 @@ def sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-35.0, min(35.0, x))))
 
 
+def gaps_packed(numbers: np.ndarray) -> bytes:
+    """Sorted numbers under 2**32 as compressed gaps: about two bytes each."""
+    return zlib.compress(np.diff(numbers, prepend=0).astype(np.uint32).tobytes(), 1)
+
+
+def gaps_unpacked(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.uint32), dtype=np.int64)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
     """(place, label, features): the labelled, not held-out rows with the smallest hashes, in their order."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -130,12 +141,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Features(bits)
         for batch in batches:
-            rows = [np.unique(own.of(text.as_py())).astype(np.int32) for text in batch.column(3)]
-            offsets = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
-            flat = pa.array(np.concatenate([np.empty(0, np.int32), *rows]), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(offsets, flat)], names=["place", "label", "key", "features"])
+            rows = [gaps_packed(np.unique(own.of(text.as_py()))) for text in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.binary())], names=["place", "label", "key", "features"])
 
-    rows = found.select(F.xxhash64("_id").alias("place"), "label", key.alias("key"), "text").mapInArrow(numbered, "place long, label int, key string, features array<int>")
+    rows = found.select(F.xxhash64("_id").alias("place"), "label", key.alias("key"), "text").mapInArrow(numbered, "place long, label int, key string, features binary")
     return rows.groupBy("place").agg(F.max("label").alias("label"), F.min_by("features", "key").alias("features"))
 
 
@@ -146,17 +155,17 @@ def train(rows: DataFrame, epochs: int = EPOCHS, bits: int = BITS) -> tuple[np.n
         held = []
         for batch in batches:
             for place, label, features in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                held.append((place, features.values.to_numpy(), label))
+                held.append((place, features.as_py(), label))
         n, toxic = len(held), sum(label for _, _, label in held)
         if toxic in (0, n):  # nothing to tell apart: the smoothed share of toxic rows
             prior = (toxic + 1) / (n + 10)
             yield pa.RecordBatch.from_pydict({"place": pa.array([1 << bits], pa.int64()), "weight": pa.array([math.log(prior / (1 - prior))], pa.float64())})
             return
-        held.sort(key=lambda r: (r[0], len(r[1]), int(r[1].sum())))
+        held.sort(key=lambda r: r[:2])
         model = Ftrl(1 << bits)
         for _ in range(epochs):
             for _, at, label in held:
-                model.learn(at, label)
+                model.learn(gaps_unpacked(at), label)
         w = model.weights()
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_pydict({"place": pa.array(kept, pa.int64()), "weight": pa.array(w[kept], pa.float64())})
