@@ -69,17 +69,14 @@ def test_compile_and_tools(spark, project):
     assert index.search_claims("twice").count() == 0
 
 
-def _lengths(texts):
-    return [[float(len(t)), 1.0] for t in texts]
-
-
 def test_vectors_are_compiled_and_searched(spark, project):
+    lengths = lambda texts: [[float(len(t)), 1.0] for t in texts]  # noqa: E731  by value, so that workers need no module of it
     folder = f"{project}/vector-index"
-    counts = compile_index(spark, folder, f"{project}/kb", {"pdf": f"{project}/pdf"}, _lengths, "lengths")
+    counts = compile_index(spark, folder, f"{project}/kb", {"pdf": f"{project}/pdf"}, lengths, "lengths")
     assert counts["claim_vectors"] == 2 and counts["wiki_vectors"] == 2
-    assert Index(spark, folder).degraded and not Index(spark, folder, _lengths).degraded
+    assert Index(spark, folder).degraded and not Index(spark, folder, lengths).degraded
     # "Tides sleep" has eleven characters, like the question, and no word of it
-    assert [r.claim_id for r in Index(spark, folder, _lengths).search_claims("abcdefghijk", k=1).collect()] == ["c_2"]
+    assert [r.claim_id for r in Index(spark, folder, lengths).search_claims("abcdefghijk", k=1).collect()] == ["c_2"]
     assert {r.key: r.value for r in Index(spark, folder).tables["meta"].collect()}["embedder"] == "lengths"
 
 
