@@ -146,9 +146,11 @@ class MTree:
             near = own[np.abs(d - self.entry_distance[p]) <= far + self.margin]
             if not len(near):
                 continue
-            for at, score in zip(near, self.scores(near, q, whole)):
-                if len(best) >= k and score < best[0][0]:
-                    continue
+            scores = self.scores(near, q, whole)
+            if len(best) >= k:
+                enough = np.array([s >= best[0][0] for s in scores]) if isinstance(scores, list) else scores >= best[0][0]
+                near, scores = near[enough], [s for s, e in zip(scores, enough) if e] if isinstance(scores, list) else scores[enough]
+            for at, score in zip(near, scores):
                 for i in self.ids[at]:
                     if i == query_id:
                         continue
