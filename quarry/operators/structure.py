@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ISOLATED = ("table", "figure")
 MOST_CHARS = 1500
@@ -79,21 +83,31 @@ def section_paths(units: DataFrame) -> DataFrame:
     """(doc, ord, path): labels of the headings above each unit, outermost first.
 
     A stack per document: a heading of depth d first pops all of depth d or more. Units are
-    (doc, ord, is_heading, depth, label).
+    (doc, ord, is_heading, depth, label). They stream through in their order, so that a task
+    holds one batch and one stack however long a document is. A heading without a depth pops
+    all, and any heading pops it; null labels are left out of the path; a null ``is_heading``
+    is no heading; units without a document form one.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "is_heading", "depth", "label")))
-    grouped = units.groupBy("doc").agg(ordered.alias("u"), F.max("ord").alias("_o"))
-    stack = F.array().cast("array<struct<depth:int,label:string>>")
-    out = F.array().cast("array<struct<ord:bigint,path:string>>")
-
-    def step(acc: Column, u: Column) -> Column:
-        rest = F.when(u["is_heading"], F.filter(acc["stack"], lambda h: h["depth"] < u["depth"])).otherwise(acc["stack"])
-        path = F.array_join(F.transform(rest, lambda h: h["label"]), "/")
-        pushed = F.when(u["is_heading"], F.array_append(rest, F.struct(u["depth"].cast("int").alias("depth"), u["label"].alias("label")))).otherwise(rest)
-        return F.struct(pushed.alias("stack"), F.array_append(acc["out"], F.struct(u["ord"].cast("bigint").alias("ord"), path.alias("path"))).alias("out"))
-
-    folded = F.aggregate("u", F.struct(stack.alias("stack"), out.alias("out")), step, lambda acc: acc["out"])
-    return grouped.select("doc", F.explode(folded).alias("p")).select("doc", "p.*")
+    names = ["doc", "ord", "is_heading", "depth", "label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: object = run
+        stack: list[tuple[int | None, str | None]] = []
+        for batch in batches:
+            paths = []
+            for doc, is_heading, depth, label in zip(*[batch.column(c).to_pylist() for c in ("doc", "is_heading", "depth", "label")]):
+                if doc != current:
+                    current, stack = doc, []
+                while is_heading and stack and (depth is None or stack[-1][0] is None or stack[-1][0] >= depth):
+                    stack.pop()
+                paths.append("/".join(x for _, x in stack if x is not None))
+                if is_heading:
+                    stack.append((depth, label))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("ord"), pa.array(paths, pa.string())], names=["doc", "ord", "path"])
+
+    typed = units.select("doc", F.col("ord").cast("bigint").alias("ord"), "is_heading", F.col("depth").cast("int").alias("depth"), "label")
+    schema = T.StructType([typed.schema["doc"], typed.schema["ord"], T.StructField("path", T.StringType())])
+    return typed.repartition("doc").sortWithinPartitions(*names).mapInArrow(run, schema)
 
 
 def batches(rows: DataFrame, key: str, order: list[str], size: int) -> DataFrame:

@@ -97,6 +97,17 @@ def test_section_paths_by_brute_force(spark):
     assert {(r.doc, r.ord): r.path for r in found.collect()} == expected
 
 
+def test_section_paths_of_nulls_and_a_long_document(spark):
+    kind = "doc int, ord long, is_heading boolean, depth int, label string"
+    rows = [(1, 0, True, 1, "a"), (1, 1, True, None, "b"), (1, 2, None, None, None), (1, 3, True, 2, None), (1, 4, True, 3, "c"), (1, 5, False, None, "d"), (None, 0, True, 1, "x"), (None, 1, False, None, "y")]
+    found = {(r.doc, r.ord): r.path for r in structure.section_paths(spark.createDataFrame(rows, kind)).collect()}
+    assert found == {(1, 0): "", (1, 1): "", (1, 2): "b", (1, 3): "", (1, 4): "", (1, 5): "c", (None, 0): "", (None, 1): "x"}
+    assert structure.section_paths(spark.createDataFrame([], kind)).count() == 0
+    long = spark.range(60000).selectExpr("1 as doc", "id as ord", "id % 3 = 0 as is_heading", "cast(1 + id % 2 as int) as depth", "concat('u', id) as label")
+    last = structure.section_paths(long).where("ord in (59998, 59999)").orderBy("ord").collect()
+    assert [r.path for r in last] == ["u59994/u59997", "u59994/u59997"]
+
+
 def test_markdown_chunks(spark):
     docs = spark.createDataFrame([(1, "intro\n# A\nx\n## B\n"), (2, ""), (3, None), (4, "# only")], "id int, text string")
     found = [(r.chunk_id, r.title, r.text) for r in structure.markdown_chunks(docs, "id", "text").orderBy("chunk_id").collect()]
