@@ -75,7 +75,7 @@ def near_copy(spark, sf_dir):
 @query("greedy_curate")
 def greedy_curate(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return C.greedy_curate(d.select("source", "doc_id", X.token_set(F.col("text")).alias("w"), F.length("text").alias("weight")), "source", "doc_id", "w", "weight")
+    return C.greedy_curate(d.select("source", "doc_id", "text", F.length("text").alias("weight")), "source", "doc_id", X.token_set(F.col("text")), "weight")
 
 
 @query("stratified_split", "WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY substr(sha256('42|' || doc_id), 1, 15), doc_id) AS n, count(*) OVER (PARTITION BY lang) AS size FROM documents) SELECT doc_id, lang, CASE WHEN n <= greatest(1, round_even(size * 0.1, 0)) THEN 'val' ELSE 'train' END AS part FROM r")

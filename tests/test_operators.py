@@ -132,6 +132,25 @@ def test_greedy_curation_by_brute_force(spark):
     assert {(r.g, r.id) for r in found.collect()} == expected
 
 
+def test_greedy_curation_in_rounds(spark):
+    """Rounds of two rows, sets given as an expression, a group of copies, rows without text and without a group."""
+    rng = random.Random(16)
+    rows = [(g, 100 * k + i, " ".join(rng.sample("abcdefghij", rng.randint(1, 5))), rng.randint(1, 9)) for k, g in enumerate(["x", "y", None]) for i in range(30)]
+    rows += [("copies", 1000 + i, "a b c", 9) for i in range(20)] + [("copies", 1100, "d e", 1), ("x", 1200, None, None), ("y", 1201, None, 9)]
+    expected = set()
+    for g in {r[0] for r in rows}:
+        kept = []
+        for _, i, t, n in sorted((r for r in rows if r[0] == g and r[2] is not None), key=lambda r: (-r[3], r[1])):
+            w = set(t.split())
+            if len(kept) < 4 and all(len(w & k) / len(w | k) < 0.4 for k in kept):
+                kept.append(w)
+                expected.add((g, i, len(kept)))
+    docs = spark.createDataFrame(rows, "g string, id long, t string, n int")
+    for batch in (2, 64):
+        found = C.greedy_curate(docs, "g", "id", X.token_set(F.col("t")), "n", 0.4, 4, batch)
+        assert {(r.g, r.id, r.pick) for r in found.collect()} == expected
+
+
 def test_quote_overlap_both_ways(spark, tmp_path):
     from quarry.plans.registry import QUERIES
 
