@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,12 +84,22 @@ def web_source_id(url: Column) -> Column:
     return F.concat(F.substring(slug(bare), 1, 60), F.lit("-"), F.substring(F.sha2(url, 256), 1, 8))
 
 
+def once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once a row, however often ``of`` names it."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def hash_embedding(text: Column, dims: int = 16) -> Column:
-    """A deterministic unit vector from the bytes of the text's SHA-256."""
-    digest = F.sha2(text, 256)
-    raw = F.array(*[F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("double") / 255.0 * 2.0 - 1.0 for i in range(dims)])
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm > 0, F.transform(raw, lambda x: x / norm)).otherwise(raw)
+    """A deterministic unit vector from the bytes of the text's SHA-256; the text is hashed once."""
+
+    def scaled(raw: Column) -> Column:
+        norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, x: s + x * x))
+        return once(norm, lambda n: F.when(n > 0, F.transform(raw, lambda x: x / n)).otherwise(raw))
+
+    def drawn(digest: Column) -> Column:
+        return F.array(*[F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("double") / 255.0 * 2.0 - 1.0 for i in range(dims)])
+
+    return once(F.sha2(text, 256), lambda digest: once(drawn(digest), scaled))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -62,3 +62,14 @@ def test_markers_and_slugs(spark):
 def test_hash_embedding_has_length_one(spark):
     v = column(spark, [("abc",)], "t string", X.hash_embedding(F.col("t")))[0]
     assert len(v) == 16 and abs(sum(x * x for x in v) - 1) < 1e-9
+
+
+def test_hash_embedding_hashes_the_text_once(spark):
+    import hashlib
+
+    docs = spark.createDataFrame([("abc",), ("",), (None,)], "t string")
+    vectors = docs.select("t", X.hash_embedding(F.col("t")).alias("v"))
+    assert vectors._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+    for r in vectors.collect():
+        raw = [None if r.t is None else b / 255.0 * 2.0 - 1.0 for b in hashlib.sha256((r.t or "").encode()).digest()[:16]]
+        assert r.v == raw if r.t is None else max(abs(a - x / sum(y * y for y in raw) ** 0.5) for a, x in zip(r.v, raw)) < 1e-12
