@@ -16,9 +16,28 @@ K1, B, RRF_K = 1.2, 0.75, 60
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf, dl): the inverted index as a table; partition or bucket it by term."""
-    words = docs.select(F.col(id_col).alias("id"), X.tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
-    return words.withColumn("dl", F.size("words").cast("long")).select("id", "dl", F.explode("words").alias("term")).groupBy("id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")).select("id", "term", "tf", "dl")
+    """(id, term, tf, dl): the inverted index as a table; partition or bucket it by term.
+
+    Terms are counted inside each row, from its sorted words, so no table of (id, term) is
+    held or shuffled. Only rows whose id stands more than once meet in an aggregate; those ids
+    are written out first, so that the joins with them go by their measured number.
+    """
+    repeated = materialise(docs.groupBy(F.col(id_col).alias("_twice")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_twice"), "postings-ids")
+    same = F.col(id_col).eqNullSafe(F.col("_twice"))
+    if not repeated.limit(1).count():
+        return _row_postings(docs, id_col, text_col)
+    apart = _row_postings(docs.join(repeated, same, "left_anti"), id_col, text_col)
+    together = _row_postings(docs.join(repeated, same, "left_semi"), id_col, text_col).groupBy("id", "term", "dl").agg(F.sum("tf").alias("tf"))
+    return apart.unionByName(together)
+
+
+def _row_postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, term, tf, dl) of each row by itself: where a term begins among the sorted words, and the next."""
+    words = docs.select(F.col(id_col).alias("id"), F.sort_array(X.tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("words"))
+    starts = F.filter(F.transform("words", lambda x, i: F.when((i == 0) | (x != F.get("words", i - 1)), i)), lambda i: i.isNotNull())
+    begun = words.select("id", "words", F.size("words").alias("n"), starts.alias("starts"))
+    counted = F.transform("starts", lambda i, k: F.struct(F.get("words", i).alias("term"), (F.coalesce(F.get("starts", k + 1), F.col("n")) - i).cast("long").alias("tf")))
+    return begun.select("id", F.col("n").cast("long").alias("dl"), F.inline(counted)).select("id", "term", "tf", "dl")
 
 
 def bm25_scores(docs: DataFrame, id_col: str, text_col: str, query: str) -> DataFrame:

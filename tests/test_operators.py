@@ -1,6 +1,7 @@
 """Operators on hand-made rows and against brute force."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -151,6 +152,23 @@ def test_greedy_curation_in_rounds(spark):
         assert {(r.g, r.id, r.pick) for r in found.collect()} == expected
 
 
+def test_postings_by_brute_force(spark):
+    """Ids that stand once need no table of terms; rows of one id (also none) and one length fold."""
+    from collections import Counter
+
+    once = [(1, "b a B. a"), (2, None), (3, "z"), (4, "Über 7 über"), (5, "")]
+    twice = [(6, "a b"), (6, "b c"), (6, "b"), (None, "q q"), (None, "q r")]
+    for rows in (once, once + twice):
+        expected = Counter()
+        for i, t in rows:
+            words = re.findall(r"[^\W_]+", (t or "").lower())
+            for w in words:
+                expected[i, w, len(words)] += 1
+        found = search.postings(spark.createDataFrame(rows, "id long, t string"), "id", "t")
+        assert sorted(map(repr, found.select("id", "term", "dl", "tf").collect())) == sorted(map(repr, spark.createDataFrame([(*k, n) for k, n in expected.items()], "id long, term string, dl long, tf long").collect()))
+        assert rows is not once or "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quote_overlap_both_ways(spark, tmp_path):
     from quarry.plans.registry import QUERIES
 
