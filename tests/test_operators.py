@@ -169,6 +169,28 @@ def test_postings_by_brute_force(spark):
         assert rows is not once or "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_prefixes_carry_what_tells_pairs_apart(spark):
+    """Parity bits and the words before travel with each prefix word, so a pair is met about once and no set goes to a pair."""
+    rng = random.Random(26)
+    sets = [(i, [rng.getrandbits(62) for _ in range(rng.randint(1, 60))]) for i in range(40)]
+    rows = C.rare_prefixes(spark.createDataFrame(sets, "id long, x array<long>"), 80).collect()
+    for i, x in sets:
+        mine = sorted((r for r in rows if r.id == i), key=lambda r: r.at)
+        assert [r.at for r in mine] == list(range(len(x) - (len(x) * 80 + 99) // 100 + 1))
+        places = {p for p in range(1024) if sum(v % 1024 == p for v in x) % 2}
+        for r in mine:
+            assert [r[f"p{k}"] for k in range(C.EARLIER)] == [mine[r.at - k].x if r.at >= k else None for k in range(1, C.EARLIER + 1)]
+            assert sum((r[f"b{k}"] & (1 << 64) - 1).bit_count() for k in range(C.LONGS)) == len(places)
+
+
+def test_shared_words_of_pairs(spark):
+    words = {1: ["a", "b", "c"], 2: ["b", "c", "d"], 3: ["x"], 4: []}
+    asked = [(1, 2), (1, 3), (2, 4)]
+    pairs = spark.createDataFrame([(a, b, len(words[a]), len(words[b])) for a, b in asked], "id_a long, id_b long, n_a long, n_b long")
+    found = C.shared_words(pairs, spark.createDataFrame([*words.items()], "id long, w array<string>"))
+    assert {(r.id_a, r.id_b): r.both for r in found.collect()} == {(a, b): len({*words[a]} & {*words[b]}) for a, b in asked}
+
+
 def test_quote_overlap_both_ways(spark, tmp_path):
     from quarry.plans.registry import QUERIES
 
